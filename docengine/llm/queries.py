@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.missing import PLACEHOLDERS, is_missing, key_upper, trimmed
-from . import mixing, quality, survivor, tokenize
+from ..functions.missing import PLACEHOLDERS, is_missing, key_lower, key_upper, present, trimmed
+from ..operators import packed
+from . import mixing, names, quality, survivor, tokenize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,22 @@ def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.merged_records(table(spark, sf_dir, "projects"), survivors(spark, sf_dir), "project_id", "row_id", ["capacity_kw", "latest_status", "notes"])
 
 
+def facility_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name of ``test_sites`` and ``test_site_candidates``: ``id``, ``country``, ``name``, ``is_main``."""
+    sites, candidates = table(spark, sf_dir, "test_sites"), table(spark, sf_dir, "test_site_candidates")
+    key = key_lower(F.col("site_id")).alias("id")
+    main = sites.select(key, present(F.col("country")).alias("country"), present(F.col("name")).alias("name"), F.lit(True).alias("is_main"))
+    rest = sites.select(key, present(F.col("country")).alias("country"), present(F.col("aliases")).alias("value"), present(F.col("pilot_names")).alias("joined"))
+    other = packed.unpack(rest.select("id", "country", "value").where("value is not null")).select("id", "country", F.col("value").alias("name"), F.lit(False).alias("is_main"))
+    pilot = rest.where("joined is not null").select("id", "country", F.explode(F.split("joined", r"\|")).alias("name"), F.lit(False).alias("is_main"))
+    typed = candidates.select(key_upper(F.col("candidate_id")).alias("id"), present(F.col("country")).alias("country"), present(F.col("candidate")).alias("name"), F.lit(True).alias("is_main"))
+    return main.unionByName(other).unionByName(pilot).unionByName(typed)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.pairs(names.link_names(facility_names(spark, sf_dir)))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -69,7 +86,7 @@ def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_records": p1_records, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
+    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
 
 
 _HOLES = ", ".join(f"'{p}'" for p in PLACEHOLDERS)
