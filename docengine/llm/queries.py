@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.missing import PLACEHOLDERS, is_missing, key_lower, key_upper, present, trimmed
 from ..operators import packed
-from . import mixing, names, quality, survivor, tokenize
+from . import matching, mixing, names, quality, survivor, tokenize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.pairs(names.link_names(facility_names(spark, sf_dir)))
 
 
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = lambda df, *cs: [present(F.col(c)).alias(c) for c in cs]
+    p, r = table(spark, sf_dir, "projects"), table(spark, sf_dir, "primre_only_test_sites")
+    projects = p.select(key_upper(F.col("project_id")).alias("project_id"), *keep(p, "name", "device", "developer", "country", "technology", "primre_website", "location"))
+    records = r.select(key_upper(F.col("primre_row_id")).alias("primre_row_id"), *keep(r, "primre_name", "country", "primre_resource", "primre_website", "location"))
+    return matching.match(projects, records)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(spark, sf_dir).select("project_id", "primre_row_id")
+
+
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(spark, sf_dir)
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -86,7 +102,7 @@ def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
+    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
 
 
 _HOLES = ", ".join(f"'{p}'" for p in PLACEHOLDERS)
