@@ -18,7 +18,7 @@ NUMBER_WORDS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6,
 
 _UNIT = r"(?:kilo-?\s?watts?|mega-?\s?watts?|giga-?\s?watts?|watts?|[kmg]?\s?w)"
 _MARK = r"(?:\s?(?:\(el\.?\)|\(e\)|e|el\.?|p)(?![\p{L}]))?"
-_NUM = r"\d{1,3}(?:[ '’  ]\d{3})+(?:[.,]\d+)?(?!\d)|\d{1,3}(?:,\d{3})+(?:\.\d+)?(?!\d)|\d+(?:[.,]\d+)?(?:e[+-]?\d+)?"
+_NUM = r"\d{1,3}(?:[ '’\u00a0\u202f]\d{3})+(?:[.,]\d+)?(?!\d)|\d{1,3}(?:,\d{3})+(?:\.\d+)?(?!\d)|\d+(?:[.,]\d+)?(?:e[+-]?\d+)?"
 _BEFORE = r"(?:(?:approx(?:\.|imately)?|about|around|circa|ca\.?|c\.|~|≈|up to|max(?:\.|imum)?|rated(?: at)?|nominal(?:ly)?|total(?: of)?|installed|nameplate|some|est\.|capacity(?: of)?|:)\s*)*"
 _AFTER = r"(?:[\s,]*(?:\(nameplate\)|\(rated\)|\(installed\)|nameplate|installed|rated|power|capacity|electrical|total|max\.?|peak|each|apiece|in all|(?:units?|machines?|devices?|turbines?|generators?|converters?)(?: each)?))*"
 _WHAT = r"(?:units?|machines?|devices?|turbines?|generators?|converters?)"
