@@ -66,7 +66,7 @@ def _statistics(df: DataFrame, common: frozenset[str], keep: list[str], text: st
 
 
 def has_text(text: Column) -> Column:
-    return text.isNotNull() & text.rlike(r"(?U)[^\s​﻿]")
+    return text.isNotNull() & text.rlike(r"(?U)[^\s\u200b\ufeff]")
 
 
 def train(docs: DataFrame, common: frozenset[str], doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> BoostedTrees | None:

@@ -34,7 +34,7 @@ def _is_wide(c: str) -> bool:
 
 def features(text: str, common: frozenset[str]) -> list[float]:
     """The statistics of ``NAMES`` for one text that is not blank; the whole text counts."""
-    lines = [x for x in re.split(r"[\r\n\x0b\x0c  ]+", text) if x.strip()]
+    lines = [x for x in re.split(r"[\r\n\x0b\x0c\u2028\u2029]+", text) if x.strip()]
     chars = Counter(text)
     size = sum(chars.values())
     visible = max(1, size - sum(n for c, n in chars.items() if c.isspace()))
