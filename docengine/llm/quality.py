@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .boosting import BoostedTrees
 from .holdout import HOLDOUT
-from .textstats import NAMES, features
+from .textstats import NAMES, Memo, features
 
 KINDS = ("prose", "list", "table", "junk")
 SAMPLE = 8000
@@ -49,8 +49,9 @@ def weak_label(f: dict[str, float]) -> str | None:
     return None
 
 
-def _features_of(texts: list[str], common: frozenset[str]) -> np.ndarray:
-    return np.nan_to_num(np.array([features(t, common) for t in texts], float).reshape(len(texts), len(NAMES)))
+def _features_of(texts: list[str], common: frozenset[str], memo: Memo | None = None) -> np.ndarray:
+    memo = Memo(common) if memo is None else memo
+    return np.nan_to_num(np.array([features(t, common, memo) for t in texts], float).reshape(len(texts), len(NAMES)))
 
 
 def _statistics(df: DataFrame, common: frozenset[str], keep: list[str], text: str) -> DataFrame:
@@ -104,8 +105,9 @@ def classify(docs: DataFrame, common: frozenset[str], doc_id: str = "doc_id", te
     pick = [NAMES.index(c) for c in REPORTED]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(common)
         for batch in batches:
-            x = _features_of(batch.column(1).to_pylist(), common)
+            x = _features_of(batch.column(1).to_pylist(), common, memo)
             p = model.probabilities(x)
             kind = p.argmax(1)
             cols = [batch.column(0), *[pa.array(x[:, i]) for i in pick], pa.array([KINDS[k] for k in kind]), pa.array(p[np.arange(len(p)), kind])]

@@ -89,7 +89,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = frozenset(r["word"] for r in table(spark, sf_dir, "common_words").select("word").distinct().limit(100_000).collect())
+    words = frozenset(r["word"] for r in table(spark, sf_dir, "common_words").select("word").distinct().collect())  # a fixed table
     return quality.classify(table(spark, sf_dir, "documents"), words)
 
 

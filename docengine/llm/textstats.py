@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from operator import and_
 
 import numpy as np
 
@@ -19,7 +20,6 @@ NAMES = (
 _MARK = re.compile(r"^\s*(?:[-–—*•▪●◦‣·>#+o]\s+|\[[ xX]?\]\s*|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})[.):]\s+|\d{1,3}\s*[-–]\s+)")
 _END = re.compile(r"[.!?…。！？][\"'”’)\]]*\s*$")
 _SENTENCE = re.compile(r"[.!?](?=\s|$|[\"'”’)])|[。！？]")
-_WORD = re.compile(r"\S+")
 _GAP = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 _FLIP = re.compile(r"[a-zà-ÿ][A-ZÀ-Þ]")
 _MIXED = re.compile(r"(?<!\S)(?=\S*[a-z])(?=\S*[A-Z])(?=\S*\d)[A-Za-z0-9+/=]{16,}(?!\S)")
@@ -32,28 +32,68 @@ def _is_wide(c: str) -> bool:
     return "぀" <= c <= "ヿ" or "㐀" <= c <= "鿿" or "가" <= c <= "힯"
 
 
-def features(text: str, common: frozenset[str]) -> list[float]:
-    """The statistics of ``NAMES`` for one text that is not blank; the whole text counts."""
+def _char(c: str) -> tuple[int, ...]:
+    """Whether a character is blank, letter, digit, upper case, wide, debris of a conversion, vowel."""
+    return c.isspace(), c.isalpha(), c.isdigit(), c.isupper(), _is_wide(c), c in "ÃÂÐÑÅâ€™ï¿½¢¬±»�ð" or "\x80" <= c < "\xa0", c in _VOWELS
+
+
+def _word(w: str, common: frozenset[str]) -> tuple:
+    """A word's bare form, whether it is common, its odd turns of case, joints, mixture, sentence ends, capital."""
+    bare = w.strip(_TRIM).lower()
+    return bare, bare in common, len(_FLIP.findall(w)) - w.count("kW"), len(_JOINED.findall(w)), len(_MIXED.findall(w)), len(_SENTENCE.findall(w)), w[0].isupper()
+
+
+class Memo(dict):
+    """What is known of words; it forgets all when it has grown too large."""
+
+    def __init__(self, common: frozenset[str], most: int = 200_000):
+        super().__init__()
+        self.common, self.most, self.chars = common, most, {}
+
+    def __missing__(self, w: str) -> tuple:
+        got = _word(w, self.common)
+        if len(w) < 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[w] = got
+        return got
+
+
+def features(text: str, common: frozenset[str], memo: Memo | None = None) -> list[float]:
+    """The statistics of ``NAMES`` for one text that is not blank; the whole text counts.
+
+    ``memo`` keeps what is known of words and characters between calls.
+    """
+    memo = Memo(common) if memo is None else memo
     lines = [x for x in re.split(r"[\r\n\x0b\x0c\u2028\u2029]+", text) if x.strip()]
     chars = Counter(text)
-    size = sum(chars.values())
-    visible = max(1, size - sum(n for c, n in chars.items() if c.isspace()))
-    letters = sum(n for c, n in chars.items() if c.isalpha())
-    digits = sum(n for c, n in chars.items() if c.isdigit())
-    upper = sum(n for c, n in chars.items() if c.isupper())
-    wide = sum(n for c, n in chars.items() if _is_wide(c))
-    latin = max(1, letters - wide)
-    rare = sum(n for c, n in chars.items() if c in "ÃÂÐÑÅâ€™ï¿½¢¬±»�ð" or "\x80" <= c < "\xa0")
-    vowels = sum(n for c, n in chars.items() if c in _VOWELS)
-    entropy = -sum(n / size * math.log2(n / size) for n in chars.values())
-    words = _WORD.findall(text)
-    bare = [w.strip(_TRIM).lower() for w in words]
-    bare = [w for w in bare if w]
-    known = [w in common for w in bare]
+    size = len(text)
+    blank = letters = digits = upper = wide = rare = vowels = 0
+    entropy = 0.0
+    for c, k in chars.items():
+        got = memo.chars.get(c)
+        if got is None:
+            memo.chars[c] = got = _char(c)
+        blank += got[0] * k
+        letters += got[1] * k
+        digits += got[2] * k
+        upper += got[3] * k
+        wide += got[4] * k
+        rare += got[5] * k
+        vowels += got[6] * k
+        entropy -= k / size * math.log2(k / size)
+    visible, latin = max(1, size - blank), max(1, letters - wide)
+    words = text.split()
+    told_of = list(map(memo.__getitem__, words))
+    cols = list(zip(*told_of)) or [()] * 7
+    bare, known = cols[0], cols[1]
+    if "" in bare:
+        bare, known = [g[0] for g in told_of if g[0]], [g[1] for g in told_of if g[0]]
+    flips, joints, mixed, ends, capitals = map(sum, cols[2:])
     n, m = max(1, len(lines)), max(1, len(words))
     lengths = np.array([len(x.strip()) for x in lines] or [0], float)
     marks = Counter()
-    ended = statements = colon = lead = single = gaps = wrapped = prose = marked = celled = tail = lower = known_lines = 0
+    ended = statements = colon = lead = single = gaps = wrapped = prose = marked = celled = tail = lower = known_lines = seen = 0
     cells, counts = Counter(), []
     for i, line in enumerate(lines):
         s = line.strip()
@@ -67,10 +107,11 @@ def features(text: str, common: frozenset[str]) -> list[float]:
         lead += s[:1].isdigit()
         tail += s[-1:].isdigit()
         lower += s[:1].islower()
-        own = [w.strip(_TRIM).lower() for w in s.split()]
-        hits = sum(w in common for w in own)
+        own = s.split()
+        hits = sum(cols[1][seen : seen + len(own)])
+        seen += len(own)
         known_lines += hits > 0
-        if not k and ((len(own) >= 5 and hits >= 0.12 * len(own)) or (sum(map(_is_wide, s)) > 0.3 * len(s) and (is_end or len(s) > 30))):
+        if not k and ((len(own) >= 5 and hits >= 0.12 * len(own)) or (wide and sum(map(_is_wide, s)) > 0.3 * len(s) and (is_end or len(s) > 30))):
             prose += len(s)
         marked += len(s) if k else 0
         wrapped += not is_end and many >= 3 and i + 1 < len(lines) and lines[i + 1].lstrip()[:1].islower()
@@ -88,16 +129,15 @@ def features(text: str, common: frozenset[str]) -> list[float]:
         if best:
             cells[kind, best] += 1
     repeats = Counter(x.strip() for x in lines)
-    ends = len(_SENTENCE.findall(text))
-    single = sum(len(w) == 1 for w in bare)
+    single = sum(map((1).__eq__, map(len, bare)))
     said = Counter(x.strip() for x in re.split(r"(?<=[.!?。！？])\s*", text) if len(x.strip()) > 3)
     told = max(1, sum(said.values()))
     body = max(1.0, lengths.sum())
-    pairs = sum(a and b for a, b in zip(known, known[1:]))
+    pairs = sum(map(and_, known, known[1:]))
     return [
         len(lines), len(words), sum(map(len, words)) / m, lengths.mean(), lengths.std() / max(1, lengths.mean()), (visible - letters - digits) / visible, digits / visible, letters / visible, upper / max(1, letters), wide / max(1, letters),
         sum(marks.values()) / n, max(marks.values(), default=0) / n, ended / n, float(bool(lines and _END.search(lines[-1]))), ends / n, m / max(1, ends), sum(known) / max(1, len(bare)), sum(c > 0 for c in counts) / n, max(cells.values(), default=0) / n, sum(counts) / n,
-        gaps / n, len(repeats) / n, max(repeats.values(), default=0) / n, len(set(bare)) / max(1, len(bare)), max(0, len(_FLIP.findall(text)) - text.count("kW")) / m, len(_JOINED.findall(text)) / m, chars["\\"] / visible, max(map(len, words), default=0), rare / visible, vowels / latin, entropy, float((lengths < 45).mean()),
-        colon / n, single / m, pairs / max(1, len(bare) - 1), len(_MIXED.findall(text)) / m, lead / n, statements / n, max((x.count(" ") for x in lines), default=0), wrapped / n,
-        prose / body, marked / body, celled / body, max(said.values(), default=0) / told if told >= 3 else 0.0, ends, text.count("; "), sum(chars[c] for c in "<>{}&") / visible, tail / n, text.count("...") * 3 / visible, lower / n, sum(w[:1].isupper() for w in words) / m, known_lines / n, len(set(zip(bare, bare[1:], bare[2:]))) / max(1, len(bare) - 2) if len(bare) > 12 and wide < 0.2 * letters else 1.0,
+        gaps / n, len(repeats) / n, max(repeats.values(), default=0) / n, len(set(bare)) / max(1, len(bare)), max(0, flips) / m, joints / m, chars["\\"] / visible, max(map(len, words), default=0), rare / visible, vowels / latin, entropy, float((lengths < 45).mean()),
+        colon / n, single / m, pairs / max(1, len(bare) - 1), mixed / m, lead / n, statements / n, max((x.count(" ") for x in lines), default=0), wrapped / n,
+        prose / body, marked / body, celled / body, max(said.values(), default=0) / told if told >= 3 else 0.0, ends, text.count("; "), sum(chars[c] for c in "<>{}&") / visible, tail / n, text.count("...") * 3 / visible, lower / n, capitals / m, known_lines / n, len(set(zip(bare, bare[1:], bare[2:]))) / max(1, len(bare) - 2) if len(bare) > 12 and wide < 0.2 * letters else 1.0,
     ]
