@@ -46,7 +46,7 @@ def spiral(df: DataFrame, place: list[str], order: list[str], step: float = 6.0)
 
 def unwrapped(ring: Column) -> Column:
     """A ring of (lon, lat) across the date line in one piece: the smaller side moves by 360 degrees."""
-    jump = F.exists(F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.abs(a["lon"] - b["lon"]) > 180), lambda j: j)
+    jump = F.exists(F.zip_with(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), lambda a, b: F.abs(a["lon"] - b["lon"]) > 180), lambda j: j)
     east = F.size(F.filter(ring, lambda p: p["lon"] >= 0)) * 2 >= F.size(ring)
     move = lambda p: F.struct(F.when(east & (p["lon"] < 0), p["lon"] + 360).when(~east & (p["lon"] >= 0), p["lon"] - 360).otherwise(p["lon"]).alias("lon"), p["lat"].alias("lat"))
     return F.when(F.size(ring) < 2, ring).when(jump, F.transform(ring, move)).otherwise(F.transform(ring, lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))))
@@ -54,7 +54,7 @@ def unwrapped(ring: Column) -> Column:
 
 def shoelace(ring: Column) -> Column:
     """(area, lon, lat) of a closed ring: signed area and centroid."""
-    pairs = F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"), (a["lon"] * b["lat"] - b["lon"] * a["lat"]).alias("c")))
+    pairs = F.zip_with(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b"), (a["lon"] * b["lat"] - b["lon"] * a["lat"]).alias("c")))
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
     add = lambda t, p: F.struct((t["s"] + p["c"]).alias("s"), (t["x"] + (p["a"]["lon"] + p["b"]["lon"]) * p["c"]).alias("x"), (t["y"] + (p["a"]["lat"] + p["b"]["lat"]) * p["c"]).alias("y"))
     done = lambda t: F.struct((t["s"] / 2).alias("area"), F.when(t["s"] != 0, t["x"] / (3 * t["s"])).alias("lon"), F.when(t["s"] != 0, t["y"] / (3 * t["s"])).alias("lat"))
