@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions import text as T, vocab
 from ..functions.missing import is_missing, key_lower, key_upper, present, trimmed
 from ..operators import extract, facets, gazetteer, packed, resolve, structure, summarize, terms
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,7 @@ def big(*names: str) -> list:
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 # --- text and structure

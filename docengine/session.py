@@ -44,3 +44,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that later stages survive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` of a plain scan over at least as many tasks as the cluster runs at once; a no-op where the scan has them.
+
+    For work that is heavy per row, such as reading text; large inputs always have enough tasks and are not moved.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df._jdf.queryExecution().toRdd().getNumPartitions() < wanted else df
