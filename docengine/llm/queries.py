@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.missing import PLACEHOLDERS, is_missing, key_lower, key_upper, present, trimmed
 from ..operators import packed
+from ..session import spread
 from . import matching, mixing, names, quality, survivor, tokenize
 
 
@@ -70,12 +71,12 @@ def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return tokenize.encode(spread(table(spark, sf_dir, "documents")), keep=["doc_id"])
 
 
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = table(spark, sf_dir, "mix_targets")
-    docs = table(spark, sf_dir, "documents").where("source is not null").join(F.broadcast(targets.select("source")), "source", "left_semi")
+    docs = spread(table(spark, sf_dir, "documents")).where("source is not null").join(F.broadcast(targets.select("source")), "source", "left_semi")
     sized = tokenize.count_tokens(docs, keep=["doc_id", "source"]).withColumn("memberships", F.array("source"))
     return mixing.mix(sized, targets)
 
@@ -90,7 +91,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = frozenset(r["word"] for r in table(spark, sf_dir, "common_words").select("word").distinct().collect())  # a fixed table
-    return quality.classify(table(spark, sf_dir, "documents"), words)
+    return quality.classify(spread(table(spark, sf_dir, "documents")), words)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
