@@ -7,7 +7,6 @@ import re
 from collections import Counter
 from operator import and_
 
-import numpy as np
 
 NAMES = (
     "n_lines", "n_words", "mean_word_length", "mean_line_length", "line_length_spread", "symbol_ratio", "digit_ratio", "letter_ratio", "upper_ratio", "wide_ratio",
@@ -91,7 +90,9 @@ def features(text: str, common: frozenset[str], memo: Memo | None = None) -> lis
         bare, known = [g[0] for g in told_of if g[0]], [g[1] for g in told_of if g[0]]
     flips, joints, mixed, ends, capitals = map(sum, cols[2:])
     n, m = max(1, len(lines)), max(1, len(words))
-    lengths = np.array([len(x.strip()) for x in lines] or [0], float)
+    lengths = [len(x.strip()) for x in lines] or [0]
+    mean = sum(lengths) / len(lengths)
+    deviation = math.sqrt(sum((x - mean) ** 2 for x in lengths) / len(lengths))
     marks = Counter()
     ended = statements = colon = lead = single = gaps = wrapped = prose = marked = celled = tail = lower = known_lines = seen = 0
     cells, counts = Counter(), []
@@ -132,12 +133,12 @@ def features(text: str, common: frozenset[str], memo: Memo | None = None) -> lis
     single = sum(map((1).__eq__, map(len, bare)))
     said = Counter(x.strip() for x in re.split(r"(?<=[.!?。！？])\s*", text) if len(x.strip()) > 3)
     told = max(1, sum(said.values()))
-    body = max(1.0, lengths.sum())
+    body = max(1.0, sum(lengths))
     pairs = sum(map(and_, known, known[1:]))
     return [
-        len(lines), len(words), sum(map(len, words)) / m, lengths.mean(), lengths.std() / max(1, lengths.mean()), (visible - letters - digits) / visible, digits / visible, letters / visible, upper / max(1, letters), wide / max(1, letters),
+        len(lines), len(words), sum(map(len, words)) / m, mean, deviation / max(1, mean), (visible - letters - digits) / visible, digits / visible, letters / visible, upper / max(1, letters), wide / max(1, letters),
         sum(marks.values()) / n, max(marks.values(), default=0) / n, ended / n, float(bool(lines and _END.search(lines[-1]))), ends / n, m / max(1, ends), sum(known) / max(1, len(bare)), sum(c > 0 for c in counts) / n, max(cells.values(), default=0) / n, sum(counts) / n,
-        gaps / n, len(repeats) / n, max(repeats.values(), default=0) / n, len(set(bare)) / max(1, len(bare)), max(0, flips) / m, joints / m, chars["\\"] / visible, max(map(len, words), default=0), rare / visible, vowels / latin, entropy, float((lengths < 45).mean()),
+        gaps / n, len(repeats) / n, max(repeats.values(), default=0) / n, len(set(bare)) / max(1, len(bare)), max(0, flips) / m, joints / m, chars["\\"] / visible, max(map(len, words), default=0), rare / visible, vowels / latin, entropy, sum(x < 45 for x in lengths) / len(lengths),
         colon / n, single / m, pairs / max(1, len(bare) - 1), mixed / m, lead / n, statements / n, max((x.count(" ") for x in lines), default=0), wrapped / n,
         prose / body, marked / body, celled / body, max(said.values(), default=0) / told if told >= 3 else 0.0, ends, text.count("; "), sum(chars[c] for c in "<>{}&") / visible, tail / n, text.count("...") * 3 / visible, lower / n, capitals / m, known_lines / n, len(set(zip(bare, bare[1:], bare[2:]))) / max(1, len(bare) - 2) if len(bare) > 12 and wide < 0.2 * letters else 1.0,
     ]
