@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions import text as T, vocab
 from ..functions.rx import uni
+from ..session import cut_lineage
 
 LOOKAHEAD, ISOLATION = 10, 15
 BULLETS = ("•", "", "-", "–", "▪", "●")
@@ -36,18 +37,20 @@ def chapter_candidates(rows: DataFrame, countries: dict[str, str] = vocab.COUNTR
     """Lines that may open a country's chapter: the name alone (also over two lines), a marker within the next lines."""
     table = F.create_map(*[F.lit(x) for pair in countries.items() for x in pair])
     h = rows.withColumn("_h", F.lower(T.normalise_heading(F.col("line"))))
-    ahead = lambda n, w: F.collect_list("_h").over(_doc().rowsBetween(n, n + w - 1))
-    raw = F.collect_list("line").over(_doc().rowsBetween(1, 4))
-    h = h.withColumns({"_next": F.lead("_h").over(_doc()), "_one": ahead(1, LOOKAHEAD), "_two": ahead(2, LOOKAHEAD), "_raw": raw})
     own = F.try_element_at(table, F.col("_h"))
-    wrapped = F.try_element_at(table, F.trim(F.concat_ws(" ", "_h", "_next")))
-    h = h.withColumns({"country": F.coalesce(own, wrapped), "_ahead": F.when(own.isNotNull(), F.col("_one")).otherwise(F.col("_two")), "_skip": F.when(own.isNotNull(), 1).otherwise(2)}).where("country is not null")
-    keys = F.array(*[F.lit(c) for c in countries])
-    listed = F.array_contains(keys, F.get("_ahead", F.lit(0)))
-    sites = F.exists(F.slice("_raw", F.col("_skip"), F.lit(3)), lambda x: F.upper(x).contains("TEST SITE NAME"))
+    wrapped = F.try_element_at(table, F.trim(F.concat_ws(" ", "_h", F.lead("_h").over(_doc()))))
+    named = h.select("doc_id", "line_no", F.coalesce(own, wrapped).alias("country"), F.when(own.isNotNull(), 1).otherwise(2).alias("_skip")).where("country is not null")
+    # only the few named lines look ahead
+    after = h.select("doc_id", F.col("line_no").alias("_at"), "_h", F.upper("line").contains("TEST SITE NAME").alias("_table"))
+    ahead = named.join(after, "doc_id").where("_at >= line_no + _skip and _at < line_no + _skip + " + str(LOOKAHEAD))
     marker, author = uni(vocab.CHAPTER_MARKER, True), uni(vocab.AUTHOR_MARKER, True)
-    h = h.where(F.exists("_ahead", lambda x: x.rlike(marker)) & ~F.coalesce(listed, F.lit(False)) & ~sites)
-    return h.select("doc_id", "line_no", "country", F.exists("_ahead", lambda x: x.rlike(marker) & x.rlike(author)).alias("has_author"))
+    marks, first = F.col("_h").rlike(marker), F.col("_at") == F.col("line_no") + F.col("_skip")
+    keys = [F.lit(c) for c in countries]
+    found = ahead.groupBy("doc_id", "line_no", "country").agg(
+        F.bool_or(marks).alias("_marked"), F.bool_or(marks & F.col("_h").rlike(author)).alias("has_author"),
+        F.bool_or(first & F.col("_h").isin(*keys)).alias("_listed"), F.bool_or(F.col("_table") & (F.col("_at") < F.col("line_no") + F.col("_skip") + 3)).alias("_sites"),
+    )
+    return found.where("_marked and not _listed and not _sites").select("doc_id", "line_no", "country", "has_author")
 
 
 def isolated(candidates: DataFrame, distance: int = ISOLATION) -> DataFrame:
@@ -67,12 +70,13 @@ def best_per_country(candidates: DataFrame, n_lines: DataFrame) -> DataFrame:
 def chapters(rows: DataFrame, countries: dict[str, str] = vocab.COUNTRIES) -> DataFrame:
     """``doc_id``, ``start``, ``end`` (half-open), ``country``, ``author``: country chapters up to the next one or the back matter."""
     n = rows.groupBy("doc_id").agg(F.max("line_no").alias("m")).select("doc_id", (F.col("m") + 1).alias("n_lines"))
-    starts = best_per_country(isolated(chapter_candidates(rows, countries)), n)
+    starts = cut_lineage(best_per_country(isolated(chapter_candidates(rows, countries)), n))  # few rows, read twice
     w = Window.partitionBy("doc_id").orderBy("line_no")
     starts = starts.withColumn("end", F.coalesce(F.lead("line_no").over(w), F.col("n_lines")))
-    h = rows.withColumn("_h", T.normalise_heading(F.col("line")))
-    h = h.withColumns({"_back": F.col("_h").rlike(uni(vocab.BACK_MATTER, True)), "_after": F.collect_list("_h").over(_doc().rowsBetween(1, 3))})
     s = starts.select("doc_id", F.col("line_no").alias("start"), "end", "country")
+    # only documents with a chapter are read on
+    h = rows.join(s.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("_h", T.normalise_heading(F.col("line")))
+    h = h.withColumns({"_back": F.col("_h").rlike(uni(vocab.BACK_MATTER, True)), "_after": F.collect_list("_h").over(_doc().rowsBetween(1, 3))})
     inside = h.join(s, "doc_id").where("line_no > start and line_no < end")
     author = uni(r"^(authors?|report prepared by)", True)
     stop = inside.groupBy("doc_id", "start").agg(
@@ -151,7 +155,8 @@ def entries(block_lines: DataFrame) -> DataFrame:
     dropped. Where an entry begins depends on the line before, so it is a running sum and no loop.
     """
     w = Window.partitionBy("doc_id", "block").orderBy("line_no")
-    x = block_lines.join(typical_length(block_lines), ["doc_id", "block"])
+    long = F.when(F.length("line") > 20, F.length("line"))
+    x = block_lines.withColumn("typical", F.coalesce(F.median(long).over(Window.partitionBy("doc_id", "block")), F.lit(60.0)))
     x = x.withColumns({"_p": F.lag("line").over(w), "_n": F.lead("line").over(w)})
     x = x.withColumn("_title", is_title(F.col("line"), F.col("_p"), F.col("_n"), F.col("typical"))).where(~T.strip(F.col("line")).isin(*BULLETS))
     x = x.withColumn("_pk", F.lag("_title").over(w))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions import text as T, vocab
 from ..functions.missing import is_missing, key_lower, key_upper, present, trimmed
 from ..operators import extract, facets, gazetteer, packed, resolve, structure, summarize, terms
-from ..session import spread
+from ..session import cut_lineage, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def document_chapters(spark, d):
 
 
 def tagged_lines(spark, d):
-    rows = structure.lines(docs(spark, d))
+    rows = cut_lineage(structure.lines(docs(spark, d)))  # four consumers
     tagged = structure.tag_headings(structure.tag_chapters(rows, structure.chapters(rows)))
     return structure.carry_sections(tagged)
 
