@@ -81,12 +81,12 @@ def parse_quantity(df: DataFrame, value: Column, unit: Column | None = None, hin
 class UnitModel:
     """Hidden Markov model of one device's records: the unit is the state, the value jumps around a smooth level.
 
-    A stated unit fixes the state. Where none is stated, ``default`` is preferred by ``log_default`` (the register's rule for
+    A stated unit fixes the state, whatever the level says. Where none is stated, ``default`` is preferred by ``log_default`` (the register's rule for
     its field; 0 leaves it to the level), staying in a state by ``log_stay`` over switching, and the jump between the true
     values (in decades) has spread ``spread``.
     """
 
-    def __init__(self, log_stay: float = 2.0, spread: float = 0.35, log_stated: float = 60.0):
+    def __init__(self, log_stay: float = 2.0, spread: float = 0.35, log_stated: float = 1e6):
         self.log_stay, self.spread, self.log_stated = log_stay, spread, log_stated
         self.scale = np.log10(list(WATTS.values()))
 

@@ -70,7 +70,7 @@ def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, pilot = table(spark, sf_dir, "projects"), table(spark, sf_dir, "pilot_projects")
     own = units.parse_quantity(p, F.col("capacity_kw"), hint=F.col("capacity_basis")).select(
         F.lit("projects").alias("src"), F.col("row_id").cast("string").alias("row_key"), F.coalesce(key_upper(F.col("project_id")), F.concat(F.lit("row "), "row_id")).alias("chain"),
-        F.col("edited_at").alias("at"), "magnitude", "unit", "is_power", "is_plain", (F.col("unit").isNull() | (F.col("unit") == "kW")).alias("is_usual"), F.lit("kW").alias("default_unit"), F.lit(60.0).alias("log_default"),
+        F.col("edited_at").alias("at"), "magnitude", "unit", "is_power", "is_plain", (F.col("unit").isNull() | (F.col("unit") == "kW")).alias("is_usual"), F.lit("kW").alias("default_unit"), F.lit(1e4).alias("log_default"),
     )
     links = packed.unpack(p.select(key_upper(F.col("project_id")).alias("chain"), F.when(~is_missing(F.col("pilot_project_id")), F.col("pilot_project_id")).alias("value")).where("chain is not null and value is not null"), atomic=True)
     links = links.groupBy(F.upper("value").alias("row_key")).agg(F.min("chain").alias("linked"))
