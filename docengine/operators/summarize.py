@@ -158,3 +158,11 @@ def sequential_ids(df: DataFrame, order: list[str], prefix: str = "P", width: in
     inside = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))  # a row's place in its partition
     numbered = parts.join(F.broadcast(firsts), "_p").withColumn("_n", F.col("_s") + inside + 1)
     return numbered.withColumn("new_id", F.concat(F.lit(prefix), F.lpad(F.col("_n").cast("string"), width, "0"))).drop("_p", "_m", "_s", "_n")
+
+
+def overridden(df: DataFrame, corrections: DataFrame, key: str) -> DataFrame:
+    """``df`` with the non-null fields of hand corrections (one row a ``key``) in place of its own; unknown keys are passed over."""
+    fields = [c for c in corrections.columns if c != key and c in df.columns]
+    fixes = corrections.select(key, *[F.col(c).alias(f"_fix_{c}") for c in fields])
+    joined = df.join(fixes, key, "left")
+    return joined.select(*[F.coalesce(f"_fix_{c}", c).alias(c) if c in fields else F.col(c) for c in df.columns])

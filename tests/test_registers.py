@@ -125,3 +125,9 @@ def test_flags(spark):
 
 def test_vocabulary_is_consistent():
     assert set(vocab.COUNTRIES.values()) >= {"France", "United Kingdom"} and len(vocab.SECTIONS) == 21 and len(vocab.TECHNOLOGIES) == len(vocab.STATUS) == 7
+
+
+def test_corrections(spark):
+    d = spark.createDataFrame([("a", "x", "1"), ("b", "y", None)], "k string, v string, w string")
+    c = spark.createDataFrame([("b", None, "9", "z"), ("q", "n", "n", "n")], "k string, v string, w string, extra string")
+    assert sorted(map(tuple, S.overridden(d, c, "k").collect())) == [("a", "x", "1"), ("b", "y", "9")]
