@@ -98,10 +98,9 @@ def scan(texts: DataFrame, phrases: list[str], policy: str = "longest", key: str
 
 def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:
     """As ``scan``, for a dictionary of any size in ``phrases`` (``term``): phrases meet words by an equi-join on the first word."""
-    schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit("").alias("word"), F.lit("").alias("rest")).schema
+    schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit("").alias("word")).schema
     split = phrases.select(F.trim(F.regexp_replace("term", uni(r"\s+"), " ")).alias("term")).where("term <> ''").distinct()
     head = split.withColumn("word", F.regexp_extract("term", r"^\S+?(?=[^\w]|$)|^\S+", 0)).withColumn("n", F.length("term"))
-    longest = head.agg(F.max("n")).first()[0] or 0
     settle = POLICIES[policy]
 
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,11 +108,13 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
         for pdf in frames:
             rows = []
             for k, body in zip(pdf[key], pdf[text]):
-                rows += [(k, m.start(), m.group(), body[m.start() : m.start() + 2 * longest + 2]) for m in token.finditer(body or "")]
-            yield pd.DataFrame(rows, columns=[key, "a", "word", "rest"])
+                rows += [(k, m.start(), m.group()) for m in token.finditer(body or "")]
+            yield pd.DataFrame(rows, columns=[key, "a", "word"])
 
-    words = texts.select(key, text).mapInPandas(tokens, schema)
-    met = words.join(head.select("term", "word", "n"), "word").where(F.regexp_replace("rest", uni(r"\s+"), " ").startswith(F.col("term")))
+    # slim words meet the dictionary; only places that may hold a phrase meet their text again
+    met = texts.select(key, text).mapInPandas(tokens, schema).join(head, "word")
+    met = met.join(texts.select(key, text), key).select(key, "a", "term", F.substr(text, F.col("a") + 1, F.col("n") * 2 + 2).alias("rest"))
+    met = met.where(F.regexp_replace("rest", uni(r"\s+"), " ").startswith(F.col("term")))
     out_schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit("").alias("term")).schema
 
     def settle_all(pdf: pd.DataFrame) -> pd.DataFrame:
