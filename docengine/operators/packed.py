@@ -204,12 +204,10 @@ def split_packed(values: pa.Array, atomic: bool = False) -> pa.ListArray:
 def unpack(df: DataFrame, value: str = "value", atomic: bool = False) -> DataFrame:
     """Each value packed in column ``value`` as a row, in place of it: ``pos`` from 1, ``value``, ``n_values`` of its field.
 
-    All other columns are carried along; rows without a value give none. The output columns ``pos``, ``n_values`` must not
-    be among them. No shuffle.
+    All other columns are carried along, but for columns named ``pos`` and ``n_values``, which the results replace. Rows without
+    a value give none, repeated rows and values each their own. No shuffle.
     """
-    rest = [c for c in df.columns if c != value]
-    if clash := {"pos", "n_values"} & set(rest):
-        raise ValueError(f"columns {sorted(clash)} would be overwritten")
+    rest = [c for c in df.columns if c not in (value, "pos", "n_values")]
     schema = df.select(*rest, F.lit(0).cast("int").alias("pos"), value, F.lit(0).cast("int").alias("n_values")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

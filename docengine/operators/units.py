@@ -132,14 +132,15 @@ class UnitModel:
 
 
 def decode_units(parsed: DataFrame, chain: str, order: str, row_key: list[str], max_chain: int = 4096, model: UnitModel | None = None) -> DataFrame:
-    """``parsed`` (of ``parse_quantity``, with ``default_unit`` and ``log_default``) with ``watts``; rows that are no power have null.
+    """``parsed`` (of ``parse_quantity``, with ``default_unit`` and ``log_default``) with ``watts``; rows that are no power, zero or null are left out.
 
     Rows of a chain stand in one task in the order of ``order``. A chain with more than ``max_chain`` rows is spread over as many
-    chains as needed (each row stays in one), so a key that holds a third of all rows is no single task.
+    chains as needed (each row stays in one), so a key that holds a third of all rows is no single task. Rows of a null chain
+    form one chain, repeated rows count each; columns named ``watts``, ``_n``, ``_part`` or ``_parts`` are replaced.
     """
     model = model or UnitModel()
-    spark_cols = parsed.columns
-    power = parsed.where("is_power and magnitude > 0")
+    spark_cols = [c for c in parsed.columns if c not in ("watts", "_n", "_part", "_parts")]
+    power = parsed.where("is_power and magnitude > 0").select(*spark_cols)
     large = power.groupBy(chain).agg(F.count("*").alias("_n")).where(F.col("_n") > max_chain).select(chain, F.ceil(F.col("_n") / max_chain).cast("int").alias("_parts"))
     spread = power.join(large, chain, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*row_key), F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
     ordered = spread.repartition(chain, "_part").sortWithinPartitions(chain, "_part", order, *row_key)

@@ -87,6 +87,12 @@ def test_hot_chain_is_split_and_whole(spark):
     assert units.decode_units(df.limit(0), "dev", "id", ["id"]).count() == 0
 
 
+def test_clashing_names_and_nulls(spark):
+    df = spark.createDataFrame([(None, 1, "5", "kW", "w", 1.0), (None, 1, "5", "kW", "w", 1.0), ("d", None, "2 MW", None, None, None), ("d", 1, None, "kW", "w", 1.0), ("d", 1, "0", "kW", "w", 1.0)], "dev string, ord int, v string, unit string, is_power string, watts double")
+    df = units.parse_quantity(df, F.col("v"), F.col("unit")).withColumns({"default_unit": F.lit("kW"), "log_default": F.lit(0.0)})
+    assert sorted(r.watts for r in units.decode_units(df, "dev", "ord", ["v"]).collect()) == [5000.0, 5000.0, 2e6]
+
+
 def test_query_cases(spark, sf):
     """Every stated power that is no plain figure of kW is a case, with the watts a plain reading gives."""
     from docengine.plans.data_queries import p4_found
