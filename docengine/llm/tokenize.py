@@ -222,13 +222,14 @@ def _batches(df: DataFrame, path: str, text: str, keep: list[str], out: str, sch
 def encode(df: DataFrame, path: str = DEFAULT_PATH, text: str = "text", keep: list[str] | None = None, out: str = "ids") -> DataFrame:
     """``keep`` columns and ``out``, the ids of ``text``; null and empty texts have an empty list. No shuffle.
 
-    Strings that look like special tokens are ordinary text. ``path`` is the file of ranks, read on the driver only.
+    By default all other columns are kept, but for one named ``out``, which is replaced; repeated rows stay. Strings that look
+    like special tokens are ordinary text. ``path`` is the file of ranks, read on the driver only.
     """
-    keep = keep or [c for c in df.columns if c != text]
+    keep = keep or [c for c in df.columns if c not in (text, out)]
     return _batches(df, path, text, keep, out, df.select(*keep, F.array().cast("array<int>").alias(out)).schema, False)
 
 
 def count_tokens(df: DataFrame, path: str = DEFAULT_PATH, text: str = "text", keep: list[str] | None = None, out: str = "n_tokens") -> DataFrame:
     """``keep`` columns and the number of ids of ``text`` (0 for null and empty texts)."""
-    keep = keep or [c for c in df.columns if c != text]
+    keep = keep or [c for c in df.columns if c not in (text, out)]
     return _batches(df, path, text, keep, out, df.select(*keep, F.lit(0).cast("bigint").alias(out)).schema, True)

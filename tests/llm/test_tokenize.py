@@ -61,6 +61,7 @@ def test_table(spark, both):
     got = T.encode(df, keep=["doc_id"]).collect()
     assert sorted((r.doc_id, len(r.ids)) for r in got) == [(1, 2), (2, 0), (3, 0), (3, 0), (4, 50_001)]
     assert sorted((r.doc_id, r.n_tokens) for r in T.count_tokens(df, keep=["doc_id"]).collect()) == [(1, 2), (2, 0), (3, 0), (3, 0), (4, 50_001)]
+    assert T.encode(df).columns == ["doc_id", "ids"] and T.encode(df).count() == 5
     assert T.encode(df.limit(0), keep=["doc_id"]).count() == 0
     assert T.encode(df.limit(0), keep=["doc_id"]).schema["ids"].dataType.simpleString() == "array<int>"
 
