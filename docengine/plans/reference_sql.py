@@ -91,6 +91,46 @@ def p7() -> str:
     return f"WITH c AS ({parts}), k AS (SELECT DISTINCT g, field FROM c WHERE g IS NOT NULL AND v IS NOT NULL) SELECT c.row_id, c.field FROM c JOIN k ON c.g = k.g AND c.field = k.field WHERE c.v IS NULL"
 
 
+def p2() -> str:
+    """Packed fields by regular expressions: items in quotes or without, cut at the strongest delimiter outside quotes."""
+    quoted = r'"(?:[^"]|"")*"'
+    bare = rf"regexp_replace(v, '{quoted}', '', 'g')"
+    item = lambda marks: rf"regexp_extract_all(v, '\s*({quoted}\s*|[^{marks}]+)(?:[{marks}]|$)', 1)"
+    return rf"""
+    WITH n AS (SELECT 'test_sites.aliases' AS field, lower({present('site_id')}) AS row_key, {present('aliases')} AS v FROM test_sites
+      UNION ALL SELECT 'projects.primre_name', row_id::VARCHAR, {present('primre_name')} FROM projects),
+    l AS (SELECT field, row_key, CASE
+        WHEN v LIKE '["%"]' THEN from_json(v, '["VARCHAR"]')
+        WHEN regexp_matches({bare}, '[|;\n\t]') THEN {item(r'|;\n\t')}
+        WHEN regexp_matches({bare}, '\s/\s') THEN string_split_regex(v, '\s/\s')
+        ELSE {item(',')} END AS items FROM n WHERE v IS NOT NULL
+      UNION ALL SELECT 'projects.obs_ids', row_id::VARCHAR, regexp_extract_all(obs_ids, 'OB\d+') FROM projects
+      UNION ALL SELECT 'projects.report_years', row_id::VARCHAR, regexp_extract_all(report_years, '\d+') FROM projects),
+    t AS (SELECT field, row_key, [{strip('x')} FOR x IN items IF {strip('x')} <> ''] AS items FROM l),
+    e AS (SELECT field, row_key, unnest(items) AS v, generate_subscripts(items, 1) AS pos FROM t WHERE len(items) > 1)
+    SELECT field, row_key, pos::INT AS pos, CASE WHEN regexp_matches(v, '^{quoted}$') THEN {strip("replace(v[2:-2], chr(34) || chr(34), chr(34))")} ELSE v END AS value FROM e"""
+
+
+_NUMBERS = "CASE lower(w) " + " ".join(f"WHEN '{w}' THEN {n}" for w, n in (("two", 2), ("three", 3), ("four", 4), ("five", 5), ("six", 6), ("seven", 7), ("eight", 8), ("nine", 9), ("ten", 10), ("twelve", 12))) + " ELSE 1 END"
+
+
+def p4() -> str:
+    """Capacities by plain steps: count, number, unit of the text, of the column or of the basis."""
+    unit = lambda c: rf"CASE lower(left(regexp_replace({c}, '\s', '', 'g'), 1)) WHEN 'k' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'g' THEN 1e9 WHEN 'w' THEN 1.0 END"
+    words = r"(?i)(k\s?w|kilowatt|m\s?w|megawatt|g\s?w|gigawatt|w|watt)"
+    return rf"""
+    WITH r AS (
+      SELECT 'projects' AS src, row_id::VARCHAR AS row_key, {present('capacity_kw')} AS v, NULL AS col, false AS other, {unit(f"regexp_extract(capacity_basis, '(?i)(?:^|[^a-z])(kw|mw|megawatts|watts|w)(?:[^a-z]|$)', 1)")} AS hint, 'kW' AS usual FROM projects
+      UNION ALL SELECT 'pilot_projects', upper({present('project_id')}), {present('capacity_max_value')}, {unit('capacity_max_unit')},
+        coalesce(lower({present('capacity_max_unit')}), 'see value') NOT IN ('see value', 'as stated') AND NOT regexp_matches(capacity_max_unit, '(?i)^\s*(k\s?w|m\s?w|g\s?w|w|kilowatts?|megawatts?|gigawatts?|watts?)(e| \(el\.\))?\s*$'), NULL, coalesce(capacity_max_unit, '') FROM pilot_projects),
+    s AS (SELECT *, regexp_replace(v, '[\x{{a0}}\x{{202f}}]', ' ', 'g') AS t FROM r WHERE v IS NOT NULL),
+    c AS (SELECT *, regexp_extract(t, '(?i)^(two|three|four|five|six|seven|eight|nine|ten|twelve) ', 1) AS w, CASE WHEN regexp_matches(t, '\d\s*[x×]\s*\d') THEN regexp_extract(t, '(\d+)\s*[x×]', 1)::INT END AS k, regexp_replace(t, '^.*[x×]\s*', '') AS rest FROM s),
+    m AS (SELECT *, regexp_extract(rest, '\d+(?:[ ,.''’]\d+)*(?:e\d+)?') AS d, regexp_extract(rest, '\d\s*-?\s*(?:{words})', 1) AS u FROM c),
+    x AS (SELECT *, regexp_replace(d, '[ ''’]', '', 'g') AS n, CASE WHEN u <> '' THEN {unit('u')} END AS own FROM m WHERE NOT regexp_matches(v, '(?i)\d\s*m rotor')),
+    y AS (SELECT *, (CASE WHEN regexp_matches(n, '^\d{{1,3}}(,\d{{3}})+(\.\d+)?$') THEN replace(n, ',', '') ELSE replace(n, ',', '.') END)::DOUBLE * coalesce(k, {_NUMBERS}) AS q, coalesce(own, CASE WHEN other THEN NULL ELSE coalesce(col, hint, CASE WHEN src = 'projects' THEN 1e3 END) END) AS f FROM x)
+    SELECT src, row_key, round(q * f)::BIGINT AS capacity_w FROM y WHERE f IS NOT NULL AND q > 0 AND NOT (regexp_matches(v, '^\d+(\.\d*)?$') AND f = 1e3 AND usual = 'kW')"""
+
+
 _CODES = "CASE " + " ".join(f"WHEN {strip('technology')} = {q(a)} THEN {q(b)}" for a, b in vocab.PILOT_TECH.items()) + f" ELSE coalesce({strip('technology')}, '') END"
 _FIXES = "CASE " + " ".join(f"WHEN lower(s) = {q(a)} THEN {q(b)}" for a, b in vocab.COUNTRY_FIX.items()) + " ELSE string_split(s, ' ')[1] || coalesce(nullif(' ' || array_to_string([CASE WHEN lower(w) IN ('of', 'and', 'the') THEN lower(w) ELSE w END FOR w IN string_split(s, ' ')[2:]], ' '), ' '), '') END"
 
@@ -187,6 +227,8 @@ def oracle_sql() -> dict[str, str]:
         "spiral_layout": """WITH s AS (SELECT s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) - 1 AS n FROM supplier)
             SELECT s_suppkey, n::BIGINT AS n, round(6.0 * sqrt(n) * cos(n * 2.39996::DOUBLE), 6) AS dx, round(6.0 * sqrt(n) * sin(n * 2.39996::DOUBLE), 6) AS dy FROM s""",
         "colour_years": f"WITH y AS (SELECT row_id, unnest({_YEARS}) AS y FROM projects) SELECT row_id, min(y) AS first, max(y) AS latest FROM y WHERE y BETWEEN '2012' AND '2019' GROUP BY 1",
+        "p2_found": p2(),
+        "p4_found": p4(),
         "p3_found": p3("SELECT field, row_id, ref FROM o"),
         "p3_report": p3("SELECT field, date_trunc('year', loaded_at)::TIMESTAMP AS period, count(*)::BIGINT AS n_references, count(DISTINCT ref)::BIGINT AS n_keys FROM o GROUP BY 1, 2"),
         "p7_found": p7(),
