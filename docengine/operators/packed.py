@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+PIECE, LONG = 1 << 20, 4 << 20  # bytes of text scanned at once; characters above which a text is scanned alone
 _QUOTE, _ESCAPE, _OPEN, _CLOSE, _SLASH, _COMMA = (ord(c) for c in '"\\[]/,')
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -201,6 +202,31 @@ def split_packed(values: pa.Array, atomic: bool = False) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(child), items)
 
 
+def _pieces(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``PIECE`` bytes each, so that the scan's arrays stay small whatever the texts' length."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(values), 0), np.int64)
+    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // PIECE, prepend=0)) if len(sizes) else []
+    lo = 0
+    for hi in [*(int(c) for c in cut if c > 0), len(sizes)]:
+        if hi > lo:
+            yield lo, hi
+            lo = hi
+
+
+def _split_piece(values: pa.Array, atomic: bool) -> pa.ListArray:
+    if len(values) > 1 or (values[0].as_py() or "") == "" or len(values[0].as_py()) <= LONG:
+        return split_packed(values, atomic)
+    text = values[0].as_py().strip()  # one very long text: no arrays per byte
+    if text.startswith("[") and text.endswith("]"):
+        try:
+            got = json.loads(text, strict=False)
+            if isinstance(got, list) and all(isinstance(x, str) for x in got):
+                return pa.array([[x.strip() for x in got if x.strip()]], pa.list_(pa.string()))
+        except ValueError:
+            pass
+    return pa.array([_exact(text, atomic)], pa.list_(pa.string()))
+
+
 def unpack(df: DataFrame, value: str = "value", atomic: bool = False) -> DataFrame:
     """Each value packed in column ``value`` as a row, in place of it: ``pos`` from 1, ``value``, ``n_values`` of its field.
 
@@ -211,8 +237,9 @@ def unpack(df: DataFrame, value: str = "value", atomic: bool = False) -> DataFra
     schema = df.select(*rest, F.lit(0).cast("int").alias("pos"), value, F.lit(0).cast("int").alias("n_values")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = split_packed(batch.column(batch.schema.get_field_index(value)), atomic)
+        for whole, lo, hi in ((b, *r) for b in batches for r in _pieces(b.column(b.schema.get_field_index(value)))):
+            batch = whole.slice(lo, hi - lo)
+            lists = _split_piece(batch.column(batch.schema.get_field_index(value)), atomic)
             parents = lists.value_parent_indices() if hasattr(lists, "value_parent_indices") else pc.list_parent_indices(lists)
             offsets = lists.offsets.to_numpy()
             p = np.asarray(parents)

@@ -83,6 +83,23 @@ def test_very_long_and_repeated(spark):
     assert unpack(df.limit(0)).count() == 0
 
 
+def test_pieces_cover_all_rows_once():
+    from docengine.operators import packed
+
+    values = pa.array(["x" * n for n in (0, 5, packed.PIECE, 3, packed.PIECE * 3, 1, 1)] + [None], pa.string())
+    got = list(packed._pieces(values))
+    assert [i for lo, hi in got for i in range(lo, hi)] == list(range(8))
+    assert list(packed._pieces(pa.array([], pa.string()))) == []
+
+
+def test_one_text_beyond_the_arrays():
+    from docengine.operators import packed
+
+    long = "; ".join(["value"] * (packed.LONG // 6))
+    assert packed._split_piece(pa.array([long]), False).to_pylist() == [["value"] * (packed.LONG // 6)]
+    assert packed._split_piece(pa.array([json.dumps(["a;b"] * (packed.LONG // 5))]), False).to_pylist() == [["a;b"] * (packed.LONG // 5)]
+
+
 def test_clashing_names(spark):
     df = spark.createDataFrame([("a|b", 7, 8, 9)], "value string, pos int, n_values int, index int")
     assert sorted((r.pos, r.value, r.n_values, r["index"]) for r in unpack(df).collect()) == [(1, "a", 2, 9), (2, "b", 2, 9)]
