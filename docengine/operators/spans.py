@@ -12,11 +12,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.rx import uni
-
 AUTOMATON_LIMIT = 50_000
 SPAN = "array<struct<a:int,b:int,term:string>>"
 _EDGE = re.compile(r"[\w-]")
+_WORD = re.compile(r"(?<![\w-])(?:\w+|[^\w\s])")
+# what Python takes for white space, for Spark's regular expressions
+_BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def _guarded(text: str, a: int, b: int) -> bool:
@@ -97,36 +98,42 @@ def scan(texts: DataFrame, phrases: list[str], policy: str = "longest", key: str
 
 
 def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """As ``scan``, for a dictionary of any size in ``phrases`` (``term``): phrases meet words by an equi-join on the first word."""
-    schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit("").alias("word")).schema
-    split = phrases.select(F.trim(F.regexp_replace("term", uni(r"\s+"), " ")).alias("term")).where("term <> ''").distinct()
-    head = split.withColumn("word", F.regexp_extract("term", r"^\S+?(?=[^\w]|$)|^\S+", 0)).withColumn("n", F.length("term"))
+    """As ``scan``, for a dictionary of any size in ``phrases`` (``term``): phrases meet words by an equi-join on the first word.
+
+    A word is a run of word characters or a single mark, told by Python on both sides. ``key`` is that of one text.
+    """
+    split = phrases.select(F.trim(F.regexp_replace("term", _BLANKS, " ")).alias("term")).where("term <> ''").distinct()
     settle = POLICIES[policy]
 
+    def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pdf.assign(word=[_WORD.match(t).group() for t in pdf["term"]])
+
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        token = re.compile(r"(?<![\w-])[\w(\"'#]\w*")
         for pdf in frames:
             rows = []
             for k, body in zip(pdf[key], pdf[text]):
-                rows += [(k, m.start(), m.group()) for m in token.finditer(body or "")]
-            yield pd.DataFrame(rows, columns=[key, "a", "word"])
-
-    # slim words meet the dictionary; only places that may hold a phrase meet their text again
-    met = texts.select(key, text).mapInPandas(tokens, schema).join(head, "word")
-    met = met.join(texts.select(key, text), key).select(key, "a", "term", F.substr(text, F.col("a") + 1, F.col("n") * 2 + 2).alias("rest"))
-    met = met.where(F.regexp_replace("rest", uni(r"\s+"), " ").startswith(F.col("term")))
+                rows += [(k, m.start(), m.group()) for m in _WORD.finditer(re.sub(r"\s+", " ", body or ""))]
+            yield pd.DataFrame(rows, columns=[key, "at", "word"])
+
+    # slim words meet the dictionary; only places that may hold a phrase meet their text again, its blanks squeezed alike
+    schema = texts.select(F.col(key), F.lit(0).alias("at"), F.lit("").alias("word")).schema
+    met = texts.select(key, text).mapInPandas(tokens, schema).join(split.mapInPandas(heads, "term string, word string"), "word")
+    flat = texts.select(key, F.regexp_replace(text, _BLANKS, " ").alias("_flat"))
+    met = met.join(flat, key).where(F.substr("_flat", F.col("at") + 1, F.length("term")) == F.col("term"))
+    found = met.groupBy(key).agg(F.collect_list(F.struct("at", "term")).alias("_found"))
     out_schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit("").alias("term")).schema
 
-    def settle_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for a, t, rest in zip(pdf["a"], pdf["term"], pdf["rest"]):
-            flat, places = _squeezed(rest)
-            end = places[len(t) - 1] + 1
-            if end >= len(rest) or not _EDGE.match(rest[end]):
-                found.append((a, a + end, t))
-        return pd.DataFrame([(pdf[key].iloc[0], a, b, t) for a, b, t in settle(found)], columns=[key, "a", "b", "term"])
+    def settle_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = []
+            for k, body, spots in zip(pdf[key], pdf[text], pdf["_found"]):
+                line, places = _squeezed(body)
+                spans = [(x["at"], x["at"] + len(x["term"]), x["term"]) for x in spots]
+                rows += [(k, places[a], places[b - 1] + 1, t) for a, b, t in settle([x for x in spans if _guarded(line, x[0], x[1])])]
+            yield pd.DataFrame(rows, columns=[key, "a", "b", "term"])
 
-    return met.groupBy(key).applyInPandas(settle_all, out_schema)
+    return found.join(texts.select(key, text), key).select(key, text, "_found").mapInPandas(settle_all, out_schema)
 
 
 def scan_any(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:

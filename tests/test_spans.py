@@ -47,6 +47,16 @@ def test_large_dictionary_gives_the_same(spark):
         assert pairs(spans.scan_table(d, table, policy)) == pairs(spans.scan(d, words, policy))
 
 
+def test_large_dictionary_knows_marks_accents_and_blanks(spark):
+    words = ["Dilado", "Dilado X", "(Dilado", "Bökesin Bay", "Bökesin", "#4 Buoy", "&Co", "“Sea Lab”", "e\u0301tude", "²x", "O'Neil (Foo)", "-Foo", "a b c", " Tab\tSite ", "\x1cOdd\x1c"]
+    texts = ["(Dilado X), \"Dilado\" #Dilado 'Dilado' -Dilado (Dilado", "Bökesin  Bay, (Bökesin) xBökesin", "at #4 Buoy &Co, &Co. “Sea Lab” e\u0301tude ²x", "a" + " \n" * 40 + "b\xa0\x1fc", "O'Neil (Foo) -Foo --Foo Tab Site Odd", "", None]
+    d, table = docs(spark, *texts), spark.createDataFrame([(w,) for w in [*words, None, " "]], "term string")
+    for policy in ("longest", "leftmost", "all"):
+        got = pairs(spans.scan_table(d, table, policy))
+        assert got == pairs(spans.scan(d, words, policy))
+    assert {t for _, _, _, t in got} == {" ".join(w.split()) for w in words}
+
+
 def test_greedy_claim_is_no_anti_join(spark):
     df = spark.createDataFrame([([(1, 0, 10), (2, 5, 12), (3, 11, 15)],)], "f array<struct<rank:int,a:int,b:int>>")
     assert [x.rank for x in df.select(spans.claim_greedy(F.col("f")).alias("x")).first().x] == [1, 3]
