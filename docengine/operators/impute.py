@@ -1,10 +1,11 @@
 """Missing values filled from similar records by a low-rank model of mixed features.
 
 Records of one entity are first merged, so the model's rows are entities and its cells are sums and counts per feature:
-numbers (standardised, as deviation from their group) and the values of categories (one feature each, 1 or 0). Alternating
+numbers (standardised) and the values of categories (one feature each, 1 or 0), both as deviation from their group. Alternating
 least squares over the known cells: the feature factors, a bounded table, travel to the tasks; each entity's factors are
 solved where its cells are; the features' normal equations are summed per partition before they meet. A missing cell's
-estimate is decoded to a valid value: the nearest one known for the entity, else for its group.
+estimate is decoded to a valid value: the nearest one known for the entity, else the nearest to its own estimate that is
+known for its group. Only an entity with no known cell at all, so without an estimate, gets its group's most central value.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
 RANK, ROUNDS, RIDGE, CATEGORY_FEATURES = 4, 4, 0.5, 64
 SALTS = 16
+OWN_FEATURES, LOOKUPS = 48, 20_000
 
 
 def _long(df: DataFrame, row_id: str, group: str, entity: str, fields: dict[str, str]) -> DataFrame:
@@ -71,6 +73,22 @@ def fit_factors(entities: DataFrame, width: int, rank: int = RANK, rounds: int =
     return factors
 
 
+def _nearest(asked: DataFrame, values: DataFrame) -> DataFrame:
+    """``group``, ``entity``, ``field``, ``own``: the value of ``values`` (``group``, ``field``, ``number``, ``text``, ``n``) nearest ``x`` of ``asked``.
+
+    Both are sorted together per group and field; a group of many lookups is split, each part with the group's values.
+    """
+    parts = asked.groupBy("group", "field").agg(F.ceil(F.count("*") / LOOKUPS).cast("int").alias("_parts"))
+    v = values.join(parts, ["group", "field"]).select("group", "field", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.col("number").alias("x"), F.lit(None).cast("string").alias("entity"), F.struct("number", "n", "text").alias("_v"))
+    q = asked.join(parts, ["group", "field"]).select("group", "field", F.pmod(F.xxhash64("entity"), F.col("_parts")).cast("int").alias("_part"), "x", "entity")
+    rows = v.unionByName(q, allowMissingColumns=True)
+    up = Window.partitionBy("group", "field", "_part").orderBy("x")
+    down = Window.partitionBy("group", "field", "_part").orderBy(F.desc("x"))
+    rows = rows.withColumns({"_a": F.last("_v", ignorenulls=True).over(up), "_b": F.last("_v", ignorenulls=True).over(down)}).where("entity is not null")
+    near = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.round(F.abs(F.col(c)["number"] - F.col("x")), 9).alias("d"), (-F.col(c)["n"]).alias("n"), F.col(c)["text"].alias("text")))
+    return rows.select("group", "entity", "field", F.least(near("_a"), near("_b"))["text"].alias("own"))
+
+
 def impute(df: DataFrame, row_id: str, group: str, entity: str, fields: dict[str, str]) -> DataFrame:
     """Every fillable missing cell of ``df``: ``row_id``, ``field``, ``value`` (text), ``is_filled`` (true), ``basis``.
 
@@ -97,9 +115,20 @@ def impute(df: DataFrame, row_id: str, group: str, entity: str, fields: dict[str
     spread = {f: max(spread.get(f, 1.0), 1e-9) for f in kinds}
     scale = F.create_map(*[F.lit(x) for pair in spread.items() for x in pair])[F.col("field")] if spread else F.lit(1.0)
     numeric = deviation.select("group", "entity", offset(index).alias("feature"), ((F.col("mean") - F.col("centre")) / scale).alias("cell"), F.col("n").cast("double").alias("weight"))
-    # category values beyond the table's width share features; decoding below tells them apart again
-    bucket = F.pmod(F.xxhash64("text"), F.lit(CATEGORY_FEATURES)).cast("int")
-    marked = known.where("number is null").select("group", "entity", (offset(base) + bucket).alias("feature"), F.lit(1.0).alias("cell"), F.col("n").cast("double").alias("weight"))
+    # the most frequent values have a feature of their own, the others share the rest; decoding below tells them apart again
+    usual = {f: [r["text"] for r in known.where(F.col("field") == f).groupBy("text").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "text").limit(OWN_FEATURES).collect()] for f in categories}
+    rank = F.create_map(*[F.lit(x) for f, ts in usual.items() for i, t in enumerate(ts) for x in (f"{f} {t}", i)]) if any(usual.values()) else F.create_map().cast("map<string,int>")
+    bucket = F.coalesce(F.try_element_at(rank, F.concat_ws(" ", "field", "text")), F.lit(OWN_FEATURES) + F.pmod(F.xxhash64("text"), F.lit(CATEGORY_FEATURES - OWN_FEATURES)).cast("int"))
+    told = known.where("number is null").withColumn("bucket", bucket)
+    # per group and field one row of at most CATEGORY_FEATURES buckets: share, and the most frequent value in it
+    values = told.groupBy("group", "field", "bucket", "text").agg(F.sum("n").alias("n"))
+    values = values.groupBy("group", "field", "bucket").agg(F.sum("n").alias("n"), F.min(F.struct((-F.col("n")).alias("m"), "text")).alias("v"))
+    choices = values.groupBy("group", "field").agg(F.sum("n").alias("all"), F.collect_list(F.struct("bucket", "n", "v")).alias("v"))
+    choices = cut_lineage(choices.select("group", "field", F.transform("v", lambda x: F.struct(x["bucket"].alias("bucket"), (x["n"] / F.col("all")).alias("share"), x["v"]["m"].alias("m"), x["v"]["text"].alias("text"))).alias("choices")))
+    # an entity that tells a category tells 0 for the group's other values
+    held = told.groupBy("group", "entity", "field", "bucket").agg(F.sum("n").alias("n")).groupBy("group", "entity", "field").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("held"))
+    marked = held.join(choices, ["group", "field"]).select("group", "entity", "field", "all", "held", F.explode("choices").alias("c"))
+    marked = marked.select("group", "entity", (offset(base) + F.col("c.bucket")).alias("feature"), (F.coalesce(F.try_element_at("held", F.col("c.bucket")), F.lit(0)) / F.col("all") - F.col("c.share")).alias("cell"), F.col("all").cast("double").alias("weight"))
     cells = numeric.unionByName(marked).groupBy("group", "entity", "feature").agg(F.avg("cell").alias("cell"), F.sum("weight").alias("weight"))
     entities = cells.groupBy("group", "entity").agg(F.collect_list(F.struct("feature", "cell", "weight")).alias("c"))
     entities = cut_lineage(entities.select("group", "entity", F.col("c.feature").alias("features"), F.col("c.cell").alias("cells"), F.col("c.weight").alias("weights")))
@@ -114,20 +143,26 @@ def impute(df: DataFrame, row_id: str, group: str, entity: str, fields: dict[str
             out["estimate"] = [[guess[i, a : a + w].tolist() for a, w in (offsets[f] for f in names)] for i in range(len(pdf))]
             yield out
 
-    estimates = entities.mapInPandas(estimate, "group string, entity string, estimate array<array<double>>")
-    # candidates per group: the known values nearest to a few estimates would need all pairs; per group and field the nearest
-    # to the group's own estimate is one aggregate
+    estimates = cut_lineage(entities.mapInPandas(estimate, "group string, entity string, estimate array<array<double>>"))  # read three times
     at = F.create_map(*[F.lit(x) for f in names for x in (f, names.index(f) + 1)])[F.col("field")]
     kinds_of = F.create_map(*[F.lit(x) for f, k in fields.items() for x in (f, k)])[F.col("field")]
-    scored = known.join(estimates, ["group", "entity"]).join(centre, ["group", "field"], "left")
+    scored = known.join(estimates, ["group", "entity"]).join(centre, ["group", "field"], "left").join(choices, ["group", "field"], "left")
     own = F.element_at("estimate", at)
-    distance = F.when(kinds_of == "number", F.abs(F.col("number") - F.col("centre") - own[0] * scale)).otherwise(-F.get(own, bucket))
+    distance = F.when(kinds_of == "number", F.abs(F.col("number") - F.col("centre") - own[0] * scale)).otherwise(-F.round(F.get(own, bucket) + F.get(F.filter("choices", lambda c: c["bucket"] == bucket), F.lit(0))["share"], 6))
     scored = scored.select("group", "entity", "field", "text", "n", F.coalesce(distance, F.lit(0.0)).alias("d"))
-    of_entity = scored.groupBy("group", "entity", "field").agg(F.min_by("text", F.struct(F.col("d"), -F.col("n"), F.col("text"))).alias("own"), F.sum("n").alias("n_own"))
+    of_entity = scored.groupBy("group", "entity", "field").agg(F.min_by("text", F.struct(F.col("d"), -F.col("n"), F.col("text"))).alias("own"), F.lit("entity").alias("basis"))
     of_group = known.join(centre, ["group", "field"], "left").groupBy("group", "field", "text").agg(F.sum("n").alias("n"), F.first(F.abs(F.col("number") - F.col("centre"))).alias("d"))
     of_group = of_group.groupBy("group", "field").agg(F.min_by("text", F.struct(F.coalesce("d", F.lit(0.0)), -F.col("n"), F.col("text"))).alias("shared"))
+    # cells of which the entity has no value: its own estimate picks among the group's
+    holes = long.where("text is null").select("group", "entity", "field").distinct().join(of_entity, ["group", "entity", "field"], "left_anti")
+    holes = cut_lineage(holes.join(estimates, ["group", "entity"]).select("group", "entity", "field", own.alias("estimate")))
+    asked = holes.where(kinds_of == "number").join(centre, ["group", "field"]).select("group", "entity", "field", (F.col("centre") + F.col("estimate")[0] * scale).alias("x"))
+    nearest = _nearest(asked, numbers.groupBy("group", "field", "number").agg(F.sum("n").alias("n"), F.min("text").alias("text")))
+    score = F.transform("choices", lambda c: F.struct((-F.round(F.get("estimate", c["bucket"]) + c["share"], 6)).alias("d"), c["m"].alias("m"), c["text"].alias("text")))
+    likely = holes.where(kinds_of != "number").join(choices, ["group", "field"]).select("group", "entity", "field", F.array_min(score)["text"].alias("own"))
+    decoded = of_entity.unionByName(nearest.unionByName(likely).withColumn("basis", F.lit("group")))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     missing = long.where("text is null").select("row_id", "group", "entity", "field", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int").alias("_salt"))
-    filled = missing.join(of_group.select("*", salts), ["group", "field", "_salt"]).join(of_entity.select("group", "entity", "field", "own"), ["group", "entity", "field"], "left")
-    out = filled.select(F.col("row_id").cast("bigint").alias("row_id"), "field", F.coalesce("own", "shared").alias("value"), F.lit(True).alias("is_filled"), F.when(F.col("own").isNotNull(), "entity").otherwise("group").alias("basis"))
+    filled = missing.join(of_group.select("*", salts), ["group", "field", "_salt"]).join(decoded, ["group", "entity", "field"], "left")
+    out = filled.select(F.col("row_id").cast("bigint").alias("row_id"), "field", F.coalesce("own", "shared").alias("value"), F.lit(True).alias("is_filled"), F.coalesce("basis", F.lit("group")).alias("basis"))
     return out.sparkSession.createDataFrame([], empty).unionByName(out)

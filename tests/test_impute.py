@@ -43,6 +43,15 @@ def test_many_categories_share_features(spark):
     assert run(spark, rows)[1000, "basis"] == ("category 7", "entity")
 
 
+def test_group_cells_follow_the_entity(spark):
+    """In each group the category tells the side a project lies on; those with only one of both get what goes with it."""
+    rows = [(100 * g + i, f"g{g}", f"e{g}-{i}", g * 10 + (1.0 if i % 2 else -1.0), "north" if i % 2 else "south") for g in range(4) for i in range(30)]
+    more = [(1001, "g1", "x", None, "north"), (1002, "g1", "y", None, "south"), (1003, "g2", "z", 21.0, None), (1004, "g2", "w", 19.0, None), (1005, "g2", "v", None, None)]
+    got = run(spark, rows + more)
+    assert [got[i, f] for i, f in ((1001, "lat"), (1002, "lat"), (1003, "basis"), (1004, "basis"))] == [("11.0", "group"), ("9.0", "group"), ("north", "group"), ("south", "group")]
+    assert (1005, "lat") in got and (1005, "basis") in got
+
+
 def test_low_rank_is_recovered():
     rnd = np.random.default_rng(2)
     u, v = rnd.normal(size=(200, 2)), rnd.normal(size=(6, 2))
