@@ -53,6 +53,26 @@ def _project_rows(pdf: pd.DataFrame) -> list[tuple]:
     return out
 
 
+def _variant_rows(pdf: pd.DataFrame) -> list[tuple]:
+    """As ``_project_rows``, a row for each different place and other words that the names (``names``) of a project tell.
+
+    A variant without a place of its own, such as one of device or developer only, stands with the place of the main name.
+    """
+    out = []
+    for r in pdf.to_dict("records"):
+        main = _project_rows(pd.DataFrame([{k: v for k, v in r.items() if k != "names"}]))[0]
+        seen = {(tuple(main[2]), tuple(main[4])): main}
+        own = [*main[3], *main[5]]
+        for name in sorted({*(r["names"] if r["names"] is not None else ())} - {r["name"]}):
+            row = _project_rows(pd.DataFrame([{k: name if k == "name" else v for k, v in r.items() if k != "names"}]))[0]
+            if len(row[2]) != 2 or any(lcs_ratio(w, o) >= 0.8 for w in row[2] for o in own):
+                extra = [w for w in telling(name) if max((lcs_ratio(w, p) for p in main[2]), default=0.0) < 0.7]
+                row = (*main[:4], extra, *main[5:])
+            seen.setdefault((tuple(row[2]), tuple(row[4])), row)
+        out += seen.values()
+    return out
+
+
 def _record_rows(pdf: pd.DataFrame) -> list[tuple]:
     out = []
     for r in pdf.fillna("").to_dict("records"):
@@ -183,15 +203,21 @@ def _compared(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     return flat.mapInPandas(run, "project_id string, primre_row_id string, confidence double").where(F.col("confidence") >= THRESHOLD)
 
 
-def match(projects: DataFrame, records: DataFrame, window: int = WINDOW) -> DataFrame:
+def match(projects: DataFrame, records: DataFrame, window: int = WINDOW, other_names: DataFrame | None = None) -> DataFrame:
     """``project_id``, ``primre_row_id``, ``confidence`` of the matched pairs; a record goes to one project at most.
 
     ``projects``: ``project_id``, ``name``, ``device``, ``developer``, ``country``, ``technology``, ``primre_website``,
     ``location``, rows of one project together count as one. ``records``: ``primre_row_id``, ``primre_name``, ``country``,
     ``primre_resource``, ``primre_website``, ``location``. Null is missing. A stated country or technology that differs, or
     a place that is only half the same without a common owner, parts two records. Ties go to the smaller project id.
+    ``other_names``: ``project_id``, ``name``, further names of projects. Every different name of a project, its own and
+    these, is tried; the best confidence stands.
     """
     p = _usual(projects, "project_id", ["name", "device", "developer", "country", "technology", "primre_website", "location"])
+    named = projects.select(F.col("project_id").alias("id"), "name")
+    if other_names is not None:
+        named = named.unionByName(other_names.select(F.col("project_id").alias("id"), "name"))
+    p = p.join(named.where("id is not null and name is not null").groupBy("id").agg(F.collect_set("name").alias("names")), "id", "left")
     r = _usual(records, "primre_row_id", ["primre_name", "country", "primre_resource", "primre_website", "location"])
 
     def rows(make) -> object:
@@ -201,8 +227,8 @@ def match(projects: DataFrame, records: DataFrame, window: int = WINDOW) -> Data
 
         return run
 
-    both = cut_lineage(p.mapInPandas(rows(_project_rows), PROFILE).unionByName(r.mapInPandas(rows(_record_rows), PROFILE)))
-    keys = both.select(F.explode("keys").alias("key"), "side", "id")
+    both = cut_lineage(p.mapInPandas(rows(_variant_rows), PROFILE).unionByName(r.mapInPandas(rows(_record_rows), PROFILE)))
+    keys = both.select(F.explode("keys").alias("key"), "side", "id").distinct()  # names of one project share keys
     found = _compared(_neighbours(keys, window), both)
     best = Window.partitionBy("primre_row_id").orderBy(F.desc("confidence"), "project_id")
     return found.withColumn("_i", F.row_number().over(best)).where("_i = 1").drop("_i")

@@ -59,7 +59,8 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, r = table(spark, sf_dir, "projects"), table(spark, sf_dir, "primre_only_test_sites")
     projects = p.select(key_upper(F.col("project_id")).alias("project_id"), *keep(p, "name", "device", "developer", "country", "technology", "primre_website", "location"))
     records = r.select(key_upper(F.col("primre_row_id")).alias("primre_row_id"), *keep(r, "primre_name", "country", "primre_resource", "primre_website", "location"))
-    return matching.match(projects, records)
+    other = p.select(key_upper(F.col("project_id")).alias("project_id"), present(F.col("primre_name")).alias("value")).where("project_id is not null and value is not null")
+    return matching.match(projects, records, other_names=packed.unpack(other).select("project_id", F.col("value").alias("name")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,15 @@ def test_matches(spark):
     assert run(spark, P, rs) == [("P1", "R1"), ("P1", "R2"), ("P2", "R3"), ("P3", "R8")]
 
 
+def test_every_name_of_a_project_counts(spark):
+    ps = [("P1", "Hydro Test", "Kelodan Mk II", "Ramofor Energy", "France", "wave", None, None)] * 2 + [("P1", "Kelodan Mk II at Sovar Tebogan", *[None] * 6)]
+    ps += [("P2", "Mitofar Drive", "Mitofar Drive", "Tasebim Wave AS", "Chile", "wave", None, None)]
+    rs = [("R1", "Wave Farm, Sovar Tebogan", "France", "Wave", None, None), ("R2", "Wave Park, Benalo Gisteron", "Chile", "Wave", None, None)]
+    assert run(spark, ps, rs) == [("P1", "R1")]
+    names = spark.createDataFrame([("P2", "Benalo Gisteron Pilot"), ("P2", "Mitofar Drive Wave Farm"), ("P2", None)], "project_id string, name string")
+    assert run(spark, ps, rs, other_names=names) == [("P1", "R1"), ("P2", "R2")]
+
+
 def test_empty(spark):
     assert run(spark, [], []) == [] and run(spark, P, []) == [] and run(spark, [], [("R", "x y", None, None, None, None)]) == []
     assert run(spark, [(None,) * 8], [(None,) * 6]) == []
