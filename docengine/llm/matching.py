@@ -2,7 +2,7 @@
 
 Both tables are sorted together by several composite keys: the place's two words forwards and backwards, each also from the
 last letter on, and one place word with the device or developer. Within a sliding window of each order the records of the
-two sides are compared field by field with weights. Of the pairs that stand, each record of the second table keeps the
+two sides are compared field by field with weights; those of equal keys always are. Of the pairs that stand, each record of the second table keeps the
 project of highest confidence.
 """
 
@@ -132,10 +132,15 @@ def _near(a: str, b: str) -> bool:
 def _neighbours(keys: DataFrame, window: int) -> DataFrame:
     """Pairs (``project_id``, ``primre_row_id``) met within the sliding window of the global order of ``key`` (``key``, ``side``, ``id``).
 
-    Rows are range-partitioned by (key, side, id), so rows of one key may lie in several tasks; the ends of neighbouring
-    partitions are windowed once more together.
+    The window counts distinct keys of a side, however many rows have them. Keys are range-partitioned; the ends of
+    neighbouring partitions are windowed once more together. All rows of equal or neighbouring keys meet, by joins on the
+    keys, which Spark splits where a key is hot.
     """
-    ordered = keys.repartitionByRange("key", "side", "id").sortWithinPartitions("key", "side", "id")
+    of = lambda s, key, one: keys.where(F.col("side") == s).select(F.col("key").alias(key), F.col("id").alias(one))
+    # equal keys meet without the window
+    same = of("p", "key", "project_id").join(of("r", "key", "primre_row_id"), "key").select("project_id", "primre_row_id")
+    distinct = keys.select("key", "side").distinct().withColumn("id", F.col("key"))
+    ordered = distinct.repartitionByRange("key", "side", "id").sortWithinPartitions("key", "side", "id")
     schema = "project_id string, primre_row_id string, part int, key string, side string, id string"
     columns = [c.split(" ")[0] for c in schema.split(", ")]
 
@@ -183,7 +188,9 @@ def _neighbours(keys: DataFrame, window: int) -> DataFrame:
         yield pd.DataFrame(sorted(found), columns=columns[:2])
 
     seams = once.where("part is not null").repartition("part").mapInPandas(seam, "project_id string, primre_row_id string")
-    return once.where("part is null").select("project_id", "primre_row_id").unionByName(seams).distinct()
+    near = once.where("part is null").select("project_id", "primre_row_id").unionByName(seams).toDF("_p", "_r").where("_p <> _r").distinct()
+    near = near.join(of("p", "_p", "project_id"), "_p").join(of("r", "_r", "primre_row_id"), "_r").select("project_id", "primre_row_id")
+    return same.unionByName(near).distinct()
 
 
 def _compared(pairs: DataFrame, profiles: DataFrame) -> DataFrame:

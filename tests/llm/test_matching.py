@@ -79,6 +79,13 @@ def test_recall_against_all_pairs(spark):
     assert len(got & want) / len(want) >= 0.98 and len(got - want) <= 0.02 * len(want)
 
 
+def test_hot_keys_hide_nothing(spark):
+    """More rows of one key than the window has places: every pair of equal and of neighbouring keys is met."""
+    rows = [("1sovar tebogan", "p", f"P{i:03}") for i in range(70)] + [("1sovar tebogan", "r", f"R{i:03}") for i in range(70)] + [("1sovar tebogam", "r", "near")]
+    got = {tuple(x) for x in M._neighbours(spark.createDataFrame(rows, "key string, side string, id string"), M.WINDOW).collect()}
+    assert got == {(f"P{i:03}", r) for i in range(70) for r in [*(f"R{j:03}" for j in range(70)), "near"]}
+
+
 def test_parts():
     assert place_of("Ramofor Kelodan Mk II deployment, Sovar Tebogan", "Kelodan Mk II", "Ramofor Energy", "", "") == ("sovar", "tebogan")
     assert place_of("Rilopen Hadestal Tidal Array Phase 1", "", "", "", "") == ("rilopen", "hadestal")
