@@ -109,6 +109,19 @@ def places(text: Column, known: Column | None = None) -> Column:
     return let(F.array_distinct(F.transform(F.filter(both, fits), lambda x: x["p"])), undominated)
 
 
+def place_parts(text: Column) -> Column:
+    """The comma-parted pieces of what follows a preposition of place: those that ``known`` of ``places`` is asked for."""
+    cut = lambda p: F.regexp_replace(F.split(p, uni(r"\.\s"))[0], "^[ ,.]+|[ ,.]+$", "")
+    return F.array_distinct(F.flatten(F.transform(find_all(text, uni(vocab.LOCATION), 2), lambda p: F.transform(F.split(cut(p), ","), T.strip))))
+
+
+def known_places(entries: DataFrame, registered: DataFrame, keys: list[str], text: str = "text", title: str = "title") -> DataFrame:
+    """Adds ``known``: the places of ``registered`` (``place``) among an entry's place phrases. A join, so any number may be registered."""
+    parts = entries.select(*keys, F.explode(place_parts(F.concat_ws(". ", title, text))).alias("place"))
+    found = parts.join(registered.select("place").distinct(), "place").groupBy(*keys).agg(F.collect_set("place").alias("known"))
+    return entries.join(found, keys, "left").withColumn("known", F.coalesce("known", F.array().cast("array<string>")))
+
+
 def water_bodies(found: Column) -> Column:
     return F.filter(found, lambda p: p.rlike(uni(rf"\b({vocab.GEO_WORDS})\b")))
 
@@ -141,7 +154,7 @@ def registered_places(location: Column) -> Column:
 
 
 def describe(df: DataFrame, text: str = "text", title: str = "title") -> DataFrame:
-    """Adds the attributes of an entry as arrays."""
+    """Adds the attributes of an entry as arrays. A column ``known`` has further place names (``known_places``)."""
     both, place_text = F.concat_ws(" ", title, text), F.concat_ws(". ", title, text)
     out = df.withColumns(
         {
@@ -150,7 +163,7 @@ def describe(df: DataFrame, text: str = "text", title: str = "title") -> DataFra
             "status": labels(both, vocab.STATUS),
             "years": years(both),
             "entities": named_entities(F.col(text)),
-            "places": places(place_text),
+            "places": places(place_text, F.col("known") if "known" in df.columns else None),
             "countries": countries(place_text),
             "coordinates": coordinates(place_text),
             "depths": depths(place_text),

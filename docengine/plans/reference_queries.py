@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as T, vocab
 from ..functions.missing import is_missing, key_lower, key_upper, present, trimmed
-from ..operators import extract, facets, gazetteer, packed, resolve, structure, summarize, terms
+from ..operators import extract, facets, gazetteer, packed, resolve, spans, structure, summarize, terms
 from ..session import cut_lineage, spread
 
 
@@ -73,13 +73,26 @@ def hyphen_join(spark, d):
     return docs(spark, d).select("doc_id", T.join_lines(T.clean_lines(F.col("text"))).alias("text")).where("text is not null and text <> ''")
 
 
+def _entries(tagged):
+    return structure.entries(structure.blocks(extract.mode_of_chapter(tagged), F.col("wanted")))
+
+
 def document_entries(spark, d):
-    rows = extract.mode_of_chapter(tagged_lines(spark, d))
-    return structure.entries(structure.blocks(rows, F.col("wanted")))
+    return _entries(tagged_lines(spark, d))
+
+
+def site_lines(rows, index):
+    """``doc_id``, ``line_no`` of the lines (``line``) a site's mention begins in; mentions may run over lines."""
+    whole = cut_lineage(structure.joined(rows.select("doc_id", "line_no", "line")))  # read by the scan and for the lines
+    found = spans.scan_any(whole, index, "longest").join(whole.select("doc_id", "starts"), "doc_id")
+    return found.select("doc_id", structure.line_of(F.col("starts"), F.col("a")).alias("line_no")).distinct()
 
 
 def project_rows(spark, d):
-    e = extract.describe(extract.emit(document_entries(spark, d)))
+    tagged = cut_lineage(tagged_lines(spark, d))  # entries and site lines
+    places = table(spark, d, "test_sites").select(F.explode(extract.registered_places(present(F.col("location")))).alias("place"))
+    e = cut_lineage(extract.emit(_entries(tagged), site_lines(tagged, gazetteer.alias_index(sites(spark, d)))))
+    e = extract.describe(extract.known_places(e, places, ["doc_id", "block", "entry"]))
     join = lambda c: F.array_join(c, "; ").alias(c)
     return e.select("doc_id", "line_start", "line_end", "title", "name_guess", *[join(c) for c in ("technologies", "capacities", "status", "years", "places", "water_bodies", "countries", "coordinates", "depths", "offshore", "entities")], "signal_score", "method", "text")
 

@@ -82,3 +82,13 @@ def test_mode_of_chapter(spark):
     rows = [(1, 0, "A", "deployment"), (1, 1, "A", None), (1, 2, "B", None), (1, 3, "", None), (2, 0, "", None)]
     got = {(r.doc_id, r.line_no): r.wanted for r in E.mode_of_chapter(spark.createDataFrame(rows, "doc_id int, line_no int, country string, section_kind string")).collect()}
     assert got == {(1, 0): True, (1, 1): False, (1, 2): True, (1, 3): False, (2, 0): True}
+
+
+def test_project_rows_know_sites_and_their_places(spark, tmp_path):
+    from docengine.plans import reference_queries as R
+
+    text = "The device was installed and tested at the Sea\nLab for a very long time in Foo Bar.\n\nThe device was installed and tested in a tank for a very long time indeed."
+    spark.createDataFrame([(1, text), (2, "The device was installed and tested in a tank for a very long time."), (3, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("s1", "Sea Lab", "France", None, "Foo Bar, France")], "site_id string, name string, country string, aliases string, location string").write.parquet(f"{tmp_path}/test_sites.parquet")
+    got = R.project_rows(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.signal_score, r.places) for r in got] == [(1, 3, "Foo Bar")]
