@@ -7,12 +7,17 @@ first word of its phrases, so neither the driver nor a task ever holds it whole.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 AUTOMATON_LIMIT = 50_000
+WORD_BUCKETS = 1 << 20
 SPAN = "array<struct<a:int,b:int,term:string>>"
 _EDGE = re.compile(r"[\w-]")
 _WORD = re.compile(r"(?<![\w-])(?:\w+|[^\w\s])")
@@ -24,6 +29,10 @@ def _guarded(text: str, a: int, b: int) -> bool:
     return not (a > 0 and _EDGE.match(text[a - 1])) and not (b < len(text) and _EDGE.match(text[b]))
 
 
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode()) % WORD_BUCKETS
+
+
 def _squeezed(text: str) -> tuple[str, list[int]]:
     """The text with runs of white space as one blank, and the place of each character in the text."""
     out, places, blank = [], [], False
@@ -109,16 +118,33 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
         for pdf in frames:
             yield pdf.assign(word=[_WORD.match(t).group() for t in pdf["term"]])
 
+    def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pd.DataFrame({"b": [_bucket(w) for w in pdf["word"]]})
+
+    first = split.mapInPandas(heads, "term string, word string")
+    # words in no bucket of a first word begin no phrase and are not moved; the bits' number does not grow with the dictionary
+    bits = np.zeros(WORD_BUCKETS, dtype=bool)
+    bits[first.mapInPandas(buckets, "b int").distinct().toPandas()["b"].to_numpy(dtype=int)] = True
+    kept = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        may, known = np.unpackbits(kept.value), {}
         for pdf in frames:
             rows = []
             for k, body in zip(pdf[key], pdf[text]):
-                rows += [(k, m.start(), m.group()) for m in _WORD.finditer(re.sub(r"\s+", " ", body or ""))]
+                for m in _WORD.finditer(re.sub(r"\s+", " ", body or "")):
+                    w = m.group()
+                    if w not in known:
+                        known[w] = bool(may[_bucket(w)])
+                    if known[w]:
+                        rows.append((k, m.start(), w))
+            known = known if len(known) < WORD_BUCKETS else {}
             yield pd.DataFrame(rows, columns=[key, "at", "word"])
 
     # slim words meet the dictionary; only places that may hold a phrase meet their text again, its blanks squeezed alike
     schema = texts.select(F.col(key), F.lit(0).alias("at"), F.lit("").alias("word")).schema
-    met = texts.select(key, text).mapInPandas(tokens, schema).join(split.mapInPandas(heads, "term string, word string"), "word")
+    met = texts.select(key, text).mapInPandas(tokens, schema).join(first, "word")
     flat = texts.select(key, F.regexp_replace(text, _BLANKS, " ").alias("_flat"))
     met = met.join(flat, key).where(F.substr("_flat", F.col("at") + 1, F.length("term")) == F.col("term"))
     found = met.groupBy(key).agg(F.collect_list(F.struct("at", "term")).alias("_found"))
@@ -133,7 +159,8 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
                 rows += [(k, places[a], places[b - 1] + 1, t) for a, b, t in settle([x for x in spans if _guarded(line, x[0], x[1])])]
             yield pd.DataFrame(rows, columns=[key, "a", "b", "term"])
 
-    return found.join(texts.select(key, text), key).select(key, text, "_found").mapInPandas(settle_all, out_schema)
+    # few rows, read more than once by those that resolve them
+    return cut_lineage(found.join(texts.select(key, text), key).select(key, text, "_found").mapInPandas(settle_all, out_schema))
 
 
 def scan_any(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:
