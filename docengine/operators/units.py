@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.missing import is_missing, trimmed
+from ..session import cut_lineage
 
 # Units of power and watts per unit.
 WATTS = {"W": 1.0, "kW": 1e3, "MW": 1e6, "GW": 1e9}
@@ -79,31 +80,51 @@ def parse_quantity(df: DataFrame, value: Column, unit: Column | None = None, hin
 
 
 class UnitModel:
-    """Hidden Markov model of one device's records: the unit is the state, the value jumps around a smooth level.
+    """Hidden Markov model of one device's records: the unit is the state, the value moves along a smooth level.
 
-    A stated unit fixes the state, whatever the level says. Where none is stated, ``default`` is preferred by ``log_default`` (the register's rule for
-    its field; 0 leaves it to the level), staying in a state by ``log_stay`` over switching, and the jump between the true
-    values (in decades) has spread ``spread``.
+    A stated unit speaks for its state by ``log_stated``, which is finite: where the values before and after agree with each
+    other and the stated unit breaks the level by a power of ten, Viterbi puts it right. Where none is stated, ``default`` is
+    preferred by ``log_default`` (the register's rule for its field; 0 leaves it to the level). Staying in a unit is preferred by
+    ``log_stay``. The jump between the true values of two rows (in decades) has spread ``spread``, or is a new level at the cost
+    ``log_level``, so a single neighbour (one jump saved) never outweighs a stated unit and two that agree (two jumps) do.
     """
 
-    def __init__(self, log_stay: float = 2.0, spread: float = 0.35, log_stated: float = 1e6):
-        self.log_stay, self.spread, self.log_stated = log_stay, spread, log_stated
+    def __init__(self, log_stay: float = 0.5, spread: float = 0.05, log_stated: float = 13.0, log_level: float = 8.0):
+        self.log_stay, self.spread, self.log_stated, self.log_level = log_stay, spread, log_stated, log_level
         self.scale = np.log10(list(WATTS.values()))
 
-    def decode(self, chain: np.ndarray, log_value: np.ndarray, stated: np.ndarray, default: np.ndarray, log_default: np.ndarray) -> np.ndarray:
-        """The most likely unit (index in ``UNITS``) of each row; rows of a chain stand together, in order."""
+    def emissions(self, stated: np.ndarray, default: np.ndarray, log_default: np.ndarray) -> np.ndarray:
+        """Log odds of each unit at each row."""
+        n = len(stated)
+        emit = np.zeros((n, len(self.scale)))
+        emit[np.arange(n), default] += np.maximum(log_default, 0.1)  # of equal levels the usual unit
+        known = stated >= 0
+        emit[known] = -self.log_stated
+        emit[np.flatnonzero(known), stated[known]] = 0
+        return emit
+
+    def steps(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Log odds of going from each unit (second last axis) to each (last axis), between rows of these log values."""
+        jump = ((after[..., None] + self.scale)[..., None, :] - (before[..., None] + self.scale)[..., :, None]) / self.spread
+        return self.log_stay * np.eye(len(self.scale)) - np.minimum(0.5 * jump * jump, self.log_level)
+
+    def decode(self, chain: np.ndarray, log_value: np.ndarray, stated: np.ndarray, default: np.ndarray, log_default: np.ndarray, ends: dict[int, tuple[int, int]] | None = None) -> np.ndarray:
+        """The most likely unit (index in ``UNITS``) of each row; rows of a chain stand together, in order.
+
+        ``ends`` fixes the first and the last unit of chains, by the place of their first row.
+        """
         n, k = len(chain), len(self.scale)
         if n == 0:
             return np.zeros(0, int)
         begin = np.append(True, chain[1:] != chain[:-1])
         first = np.flatnonzero(begin)
         length = np.diff(np.append(first, n))
-        emit = np.zeros((n, k))
-        emit[np.arange(n), default] += log_default
-        known = stated >= 0
-        emit[known] = -self.log_stated
-        emit[np.flatnonzero(known), stated[known]] = 0
-        level = log_value[:, None] + self.scale
+        emit = self.emissions(stated, default, log_default)
+        for at, (_, stop) in zip(first, [*zip(first, first + length)]):
+            if ends and int(at) in ends:
+                a, b = ends[int(at)]
+                emit[at, np.arange(k) != a] = -np.inf
+                emit[stop - 1, np.arange(k) != b] = -np.inf
         order = np.argsort(-length, kind="stable")
         first, length = first[order], length[order]
         score, back = emit[first].copy(), np.zeros((n, k), int)
@@ -114,8 +135,7 @@ class UnitModel:
                 finals |= {int(i): score[i] for i in range(live, len(score))}
                 score = score[:live]
             at = first[:live] + t
-            jump = (level[at][:, None, :] - level[at - 1][:, :, None]) / self.spread
-            step = score[:, :, None] - 0.5 * np.minimum(jump * jump, 400) + self.log_stay * np.eye(k)
+            step = score[:, :, None] + self.steps(log_value[at - 1], log_value[at])
             back[at] = step.argmax(1)
             score = step.max(1) + emit[at]
         finals |= {int(i): score[i] for i in range(len(score))}
@@ -124,53 +144,134 @@ class UnitModel:
         for t in range(int(length[0]) - 1, -1, -1):
             live = int(np.searchsorted(-length, -t, side="left"))
             at = first[:live] + t
-            ends = length[:live] == t + 1
-            best[at[ends]] = last[:live][ends]
-            more = ~ends
+            final = length[:live] == t + 1
+            best[at[final]] = last[:live][final]
+            more = ~final
             best[at[more]] = back[at[more] + 1, best[at[more] + 1]]
         return best
 
+    def transfer(self, log_value: np.ndarray, emit: np.ndarray) -> np.ndarray:
+        """The best log odds of a stretch of one chain, from each first unit to each last one: steps composed by (max, +)."""
+        whole = np.where(np.eye(len(self.scale), dtype=bool), emit[0], -np.inf)
+        for step, e in zip(self.steps(log_value[:-1], log_value[1:]), emit[1:]):
+            whole = (whole[:, :, None] + step[None]).max(1) + e
+        return whole
 
-def decode_units(parsed: DataFrame, chain: str, order: str, row_key: list[str], max_chain: int = 4096, model: UnitModel | None = None) -> DataFrame:
-    """``parsed`` (of ``parse_quantity``, with ``default_unit`` and ``log_default``) with ``watts``; rows that are no power, zero or null are left out.
 
-    Rows of a chain stand in one task in the order of ``order``. A chain with more than ``max_chain`` rows is spread over as many
-    chains as needed (each row stays in one), so a key that holds a third of all rows is no single task. Rows of a null chain
-    form one chain, repeated rows count each; columns named ``watts``, ``_n``, ``_part`` or ``_parts`` are replaced.
-    """
-    model = model or UnitModel()
-    spark_cols = [c for c in parsed.columns if c not in ("watts", "_n", "_part", "_parts")]
-    power = parsed.where("is_power and magnitude > 0").select(*spark_cols)
-    large = power.groupBy(chain).agg(F.count("*").alias("_n")).where(F.col("_n") > max_chain).select(chain, F.ceil(F.col("_n") / max_chain).cast("int").alias("_parts"))
-    spread = power.join(large, chain, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*row_key), F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
-    ordered = spread.repartition(chain, "_part").sortWithinPartitions(chain, "_part", order, *row_key)
-    schema = ordered.select(*spark_cols, F.lit(0.0).alias("watts")).schema
-    units = {u: i for i, u in enumerate(UNITS)}
-    per_unit = np.array(list(WATTS.values()))
+_CODE = {u: i for i, u in enumerate(UNITS)}
+
+
+def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    value = np.log10(pdf["magnitude"].to_numpy(float))
+    return value, pdf["unit"].map(_CODE).fillna(-1).to_numpy(int), pdf["default_unit"].map(_CODE).fillna(1).to_numpy(int), pdf["log_default"].to_numpy(float)
+
+
+def _decoded(pdf: pd.DataFrame, best: np.ndarray, columns: list[str]) -> pd.DataFrame:
+    """``pdf`` with ``watts``, ``decoded_unit`` and what it rests on."""
+    _, stated, default, _ = _arrays(pdf)
+    basis = np.where(stated >= 0, np.where(stated == best, "stated", "level, against the stated unit"), np.where(default == best, "usual unit", "level"))
+    return pdf.assign(watts=pdf["magnitude"].to_numpy(float) * np.array(list(WATTS.values()))[best], decoded_unit=np.array(UNITS)[best], unit_basis=basis)[[*columns, "watts", "decoded_unit", "unit_basis"]]
+
+
+def _stretches(pdf: pd.DataFrame) -> list[tuple[int, int]]:
+    """The ranges of rows with one chain."""
+    cut = np.flatnonzero(pdf["_chain"].to_numpy()[1:] != pdf["_chain"].to_numpy()[:-1]) + 1
+    return list(zip([0, *cut], [*cut, len(pdf)])) if len(pdf) else []
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pd.factorize(pdf[chain].fillna("").astype(str) + "\x00" + pdf["_part"].astype(str))[0]
-        value = pdf["magnitude"].to_numpy(float)
-        found = model.decode(
-            key,
-            np.log10(value),
-            pdf["unit"].map(units).fillna(-1).to_numpy(int),
-            pdf["default_unit"].map(units).fillna(1).to_numpy(int),
-            pdf["log_default"].to_numpy(float),
-        )
-        return pdf.assign(watts=value * per_unit[found])[[*spark_cols, "watts"]]
+
+def _bounded(power: DataFrame, columns: list[str], order: list, schema, model: UnitModel) -> DataFrame:
+    """Chains that fit a task, each whole in one."""
+    ordered = power.repartition("_chain").sortWithinPartitions("_chain", *order)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in frames:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            tail = (pdf[chain].fillna("") == (pdf[chain].iloc[-1] or "")) & (pdf["_part"] == pdf["_part"].iloc[-1]) if len(pdf) else None
-            if tail is None:
+            if len(pdf) == 0:
                 continue
+            tail = pdf["_chain"] == pdf["_chain"].iloc[-1]
             rest = pdf[tail]
             if (~tail).any():
                 yield solve(pdf[~tail].reset_index(drop=True))
         if rest is not None and len(rest):
             yield solve(rest.reset_index(drop=True))
 
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _decoded(pdf, model.decode(pd.factorize(pdf["_chain"])[0], *_arrays(pdf)), columns)
+
     return ordered.mapInPandas(run, schema)
+
+
+def _unbounded(power: DataFrame, columns: list[str], order: list, schema, model: UnitModel) -> DataFrame:
+    """Chains of any length, cut into stretches in their order.
+
+    Every task sends the transfer matrices of its first and last stretch to the driver, two rows of 16 numbers a task; there
+    they are composed along each chain, which settles the units at the cuts, and every stretch is then decoded between them.
+    """
+    ordered = cut_lineage(power.repartitionByRange("_chain", *order).sortWithinPartitions("_chain", *order).withColumn("_part", F.spark_partition_id()))
+
+    def whole(frames: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
+        parts = [f for f in frames if len(f)]
+        return pd.concat(parts, ignore_index=True) if parts else None
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf, rows = whole(frames), []
+        if pdf is not None:
+            part = int(pdf["_part"].iloc[0])
+            ranges = _stretches(pdf)
+            for which, (a, b) in {0: ranges[0], len(ranges) - 1: ranges[-1]}.items():
+                value, *rest = _arrays(pdf.iloc[a:b])
+                rows.append((part, which, pdf["_chain"].iloc[a], value[0], value[-1], model.transfer(value, model.emissions(*rest)).ravel().tolist()))
+        yield pd.DataFrame(rows, columns=["part", "which", "chain", "head", "tail", "m"])
+
+    cuts = sorted(ordered.mapInPandas(sums, "part int, which int, chain string, head double, tail double, m array<double>").collect(), key=lambda r: (r["part"], r["which"]))
+    ends: dict[int, dict[int, tuple[int, int]]] = {}
+    k, at = len(model.scale), 0
+    while at < len(cuts):
+        stop = at + 1
+        while stop < len(cuts) and cuts[stop]["chain"] == cuts[at]["chain"]:
+            stop += 1
+        run, score, back = cuts[at:stop], np.zeros(k), []
+        for i, r in enumerate(run):
+            if i:
+                step = score[:, None] + model.steps(np.array(run[i - 1]["tail"]), np.array(r["head"]))
+                back.append(("cut", step.argmax(0)))
+                score = step.max(0)
+            inside = score[:, None] + np.array(r["m"]).reshape(k, k)
+            back.append(("stretch", inside.argmax(0)))
+            score = inside.max(0)
+        state = int(score.argmax())
+        for r in reversed(run):
+            last = state
+            state = int(back.pop()[1][last])
+            ends.setdefault(r["part"], {})[r["which"]] = (state, last)
+            if back:
+                state = int(back.pop()[1][state])
+        at = stop
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if (pdf := whole(frames)) is not None:
+            fixed = {_stretches(pdf)[which][0]: states for which, states in ends[int(pdf["_part"].iloc[0])].items()}
+            yield _decoded(pdf, model.decode(pd.factorize(pdf["_chain"])[0], *_arrays(pdf), ends=fixed), columns)
+
+    return ordered.mapInPandas(solve, schema)
+
+
+def decode_units(parsed: DataFrame, chain: str, order: str, row_key: list[str], max_chain: int = 4096, model: UnitModel | None = None) -> DataFrame:
+    """``parsed`` (of ``parse_quantity``, with ``default_unit`` and ``log_default``) with ``watts``, ``decoded_unit``, ``unit_basis``; rows that are no power, zero or null are left out.
+
+    Rows of a chain follow one another by ``order``, then ``row_key`` and the figure. A chain of more than ``max_chain`` rows, so
+    one that holds a third of all, spreads over tasks in stretches of its order, with the same result. Rows of a null chain form one
+    chain, repeated rows count each; columns named as the results, ``_n``, ``_chain`` or ``_part`` are replaced. ``unit_basis``: the stated
+    unit, the level against it, the usual unit where none is stated, or the level.
+    """
+    model = model or UnitModel()
+    columns = [c for c in parsed.columns if c not in ("watts", "decoded_unit", "unit_basis", "_n", "_chain", "_part")]
+    power = parsed.where("is_power and magnitude > 0").select(*columns, F.coalesce(F.col(chain).cast("string"), F.lit("")).alias("_chain"))
+    schema = power.select(*columns, F.lit(0.0).alias("watts"), F.lit("").alias("decoded_unit"), F.lit("").alias("unit_basis")).schema
+    along = [F.col(c) for c in dict.fromkeys([order, *row_key, "magnitude", "unit"])]
+    large = power.groupBy("_chain").agg(F.count("*").alias("_n")).where(F.col("_n") > max_chain).select("_chain")
+    large = cut_lineage(large)  # few rows: chains above the bound
+    if large.isEmpty():
+        return _bounded(power, columns, along, schema, model)
+    return _bounded(power.join(large, "_chain", "left_anti"), columns, along, schema, model).unionByName(_unbounded(power.join(large, "_chain", "left_semi"), columns, along, schema, model))

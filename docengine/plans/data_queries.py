@@ -65,12 +65,16 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.orphan_report(p3_orphans(spark, sf_dir))
 
 
+# log odds that a ``capacity_kw`` without any unit is in kW
+USUAL_KW = 12.0
+
+
 def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stated capacities of both tables with ``watts``; a project's rows and the pilot rows it cites form one chain."""
+    """All stated capacities of both tables with ``watts`` and the unit decoded; a project's rows and the pilot rows it cites form one chain."""
     p, pilot = table(spark, sf_dir, "projects"), table(spark, sf_dir, "pilot_projects")
     own = units.parse_quantity(p, F.col("capacity_kw"), hint=F.col("capacity_basis")).select(
         F.lit("projects").alias("src"), F.col("row_id").cast("string").alias("row_key"), F.coalesce(key_upper(F.col("project_id")), F.concat(F.lit("row "), "row_id")).alias("chain"),
-        F.col("edited_at").alias("at"), "magnitude", "unit", "is_power", "is_plain", (F.col("unit").isNull() | (F.col("unit") == "kW")).alias("is_usual"), F.lit("kW").alias("default_unit"), F.lit(1e4).alias("log_default"),
+        F.col("edited_at").alias("at"), "magnitude", "unit", "is_power", "is_plain", (F.col("unit").isNull() | (F.col("unit") == "kW")).alias("is_usual"), F.lit("kW").alias("default_unit"), F.lit(USUAL_KW).alias("log_default"),
     )
     links = packed.unpack(p.select(key_upper(F.col("project_id")).alias("chain"), F.when(~is_missing(F.col("pilot_project_id")), F.col("pilot_project_id")).alias("value")).where("chain is not null and value is not null"), atomic=True)
     links = links.groupBy(F.upper("value").alias("row_key")).agg(F.min("chain").alias("linked"))
@@ -87,6 +91,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capacities(spark, sf_dir).where("not (is_plain and is_usual)").select("src", "row_key", F.round("watts").cast("bigint").alias("capacity_w"))
 
 
+def p4_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stated capacity in watts, with the unit decoded for it and what that rests on."""
+    return capacities(spark, sf_dir).select("src", "row_key", "magnitude", F.col("unit").alias("stated_unit"), "decoded_unit", "unit_basis", F.round("watts").cast("bigint").alias("capacity_w"))
+
+
 SITE_FIELDS = {"lat": "number", "lon": "number", "location_basis": "category", "capacity_basis": "category"}
 
 
@@ -112,4 +121,4 @@ def p7_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p7_found": p7_found, "p7_filled": p7_filled}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_units": p4_units, "p7_found": p7_found, "p7_filled": p7_filled}

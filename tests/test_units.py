@@ -54,22 +54,59 @@ def test_viterbi_equals_every_path():
     k = len(units.UNITS)
     for _ in range(40):
         n = int(rnd.integers(1, 6))
-        value, stated = rnd.uniform(-1, 6, n), rnd.integers(-1, k, n)
+        value, stated = rnd.uniform(-1, 6, n).round(1), rnd.integers(-1, k, n)
         got = model.decode(np.zeros(n), value, stated, np.ones(n, int), np.zeros(n))
 
         def score(path):
             total = 0.0
             for t, s in enumerate(path):
-                total += 0 if stated[t] < 0 or stated[t] == s else -model.log_stated
+                total += (0.1 if s == 1 else 0) if stated[t] < 0 else 0 if stated[t] == s else -model.log_stated
                 if t:
                     jump = (value[t] + model.scale[s] - value[t - 1] - model.scale[path[t - 1]]) / model.spread
-                    total += model.log_stay * (s == path[t - 1]) - 0.5 * min(jump * jump, 400)
+                    total += model.log_stay * (s == path[t - 1]) - min(0.5 * jump * jump, model.log_level)
             return total
 
         best = max(score(p) for p in itertools.product(range(k), repeat=n))
         assert score(tuple(got)) == pytest.approx(best)
 
 
+def decoded(spark, rows, usual=0.0, **more):
+    df = units.parse_quantity(spark.createDataFrame(rows, "dev string, ord int, v string, u string"), F.col("v"), F.col("u"))
+    df = df.withColumns({"default_unit": F.lit("kW"), "log_default": F.lit(usual)})
+    return {(r.dev, r.ord): (r.watts, r.unit_basis) for r in units.decode_units(df, "dev", "ord", ["ord"], **more).collect()}
+
+
+def test_planted_unit_switches_are_put_right(spark):
+    """A stated unit that breaks a level on which the rows before and after agree is no unit of this figure; a plain rule would keep it."""
+    rnd, rows, truth, wrong = np.random.default_rng(5), [], {}, set()
+    for d in range(60):
+        level = 10 ** rnd.uniform(3.5, 7)
+        for i in range(8):
+            watts, unit = level * 10 ** rnd.normal(0, 0.01), rnd.choice(["kW", "MW"])
+            factor, told = units.WATTS[unit], unit
+            if i in (2, 5) and d % 2:
+                told, factor = ("MW", 1e3) if unit == "kW" else ("kW", 1e6)
+                wrong.add((str(d), i))
+            rows.append((str(d), i, f"{watts / factor:.6f}", told))
+            truth[str(d), i] = watts
+    got = decoded(spark, rows)
+    assert all(got[k][0] == pytest.approx(w, rel=1e-3) for k, w in truth.items())
+    assert {k for k, (_, basis) in got.items() if basis == "level, against the stated unit"} == wrong
+    # a level that truly changes keeps its stated units, as does a single figure against one neighbour
+    kept = [("x", i, v, "kW") for i, v in enumerate(["5", "5", "5", "5000", "5000", "5000"])] + [("y", 0, "3", "kW"), ("y", 1, "3", "MW")]
+    assert {b for _, b in decoded(spark, kept).values()} == {"stated"}
+
+
+def test_cut_chains_decode_as_whole_ones(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(str(rnd.integers(0, 4)) if i % 9 else None, i, f"{10 ** rnd.normal(2, 0.02):.3f}", rnd.choice(["W", "kW", "kW", "MW", None])) for i in range(400)]
+    whole = decoded(spark, rows)
+    assert len({b for _, b in whole.values()}) > 2
+    for most in (1, 60):
+        assert decoded(spark, rows, max_chain=most) == whole
+    assert decoded(spark, [("one", i, v, u) for _, i, v, u in rows], max_chain=1) == decoded(spark, [("one", i, v, u) for _, i, v, u in rows])
+
+
 def test_unit_from_level(spark):
     """A figure without a unit takes the unit that keeps the device's level."""
     rows = [("d", 1, "500", "kW"), ("d", 2, "0.5", None), ("d", 3, "510000", None), ("e", 1, "3", "MW"), ("e", 2, "3000", None)]
