@@ -1,9 +1,9 @@
-"""References to records that do not exist, kept as signed counts per key.
+"""References to records that do not exist, kept as signed counts per key and time.
 
-Every change is a delta: a citing row adds to (or takes from) the references of a key, a delivery or a deletion of a record
-adds to or takes from its existence. The sum of all deltas per key is the state; keys with references and no existence are
-orphans. State and deltas have one form, so old state and new deltas are summed by the same aggregate, in batch or per
-micro-batch, and nothing is ever recounted.
+Every change is a delta: a citing row adds one to (or takes one from) the citations of a key at the row's time; a delivery adds
+one to the existence of a record at its time, a deletion takes back the delivery it ends. The sum of all deltas is the state; it does
+not depend on their order, and what sums to zero is gone. Keys with citations and no existence are orphans. State and deltas have
+one form, so old state and new deltas are summed by the same aggregate, in batch or per micro-batch, and nothing is recounted.
 """
 
 from __future__ import annotations
@@ -12,40 +12,46 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-STATE = "field string, ref string, n_refs bigint, n_exists bigint, first_cited timestamp_ntz, last_cited timestamp_ntz, first_loaded timestamp_ntz"
+# ``what`` is ``cite`` or ``load``, ``at`` the time of the citing row or of the delivery, ``n`` the signed count
+STATE = "field string, ref string, what string, at timestamp_ntz, n bigint"
 SALTS = 16
 
 
-def _long(df: DataFrame, **cols: Column) -> DataFrame:
-    names = [c.split(" ")[0] for c in STATE.split(", ")]
-    types = dict(c.split(" ") for c in STATE.split(", "))
-    return df.select(*[(cols[n] if n in cols else F.lit(None)).cast(types[n]).alias(n) for n in names])
-
-
 def reference_deltas(cited: DataFrame, sign: int = 1) -> DataFrame:
-    """Deltas of citations (``field``, ``ref``, ``loaded_at``); ``sign=-1`` takes them back."""
-    zero = F.lit(0)
-    return _long(cited, field=F.col("field"), ref=F.col("ref"), n_refs=F.lit(sign), n_exists=zero, first_cited=F.col("loaded_at"), last_cited=F.col("loaded_at"))
+    """Deltas of citations (``field``, ``ref``, ``loaded_at``); ``sign=-1`` takes them back. Null keys cite nothing."""
+    return cited.where("ref is not null").select("field", "ref", F.lit("cite").alias("what"), F.col("loaded_at").cast("timestamp_ntz").alias("at"), F.lit(sign).cast("bigint").alias("n"))
+
 
+def existence_deltas(records: DataFrame, field: str, key: Column, was_known: Column | None = None) -> DataFrame:
+    """Deltas of records (``loaded_at``, ``deleted_at``) that ``field`` may cite.
 
-def existence_deltas(records: DataFrame, field: str, key: Column) -> DataFrame:
-    """Deltas of records that ``field`` may cite: +1 per delivery, -1 where ``deleted_at`` is set."""
-    rows = records.select(key.alias("ref"), "loaded_at", "deleted_at").where("ref is not null")
-    live = F.when(F.col("deleted_at").isNull(), 1).otherwise(0)
-    return _long(rows, field=F.lit(field), ref=F.col("ref"), n_refs=F.lit(0), n_exists=live, first_loaded=F.when(F.col("deleted_at").isNull(), F.col("loaded_at")))
+    A row without ``deleted_at`` is a delivery: +1 at ``loaded_at``. One with it is also the end of a delivery: -1 at its ``loaded_at``.
+    In a table of all records the two cancel out; of a change feed ``was_known`` tells that the delivery itself came as an
+    earlier delta, so that only the -1 is new. A deletion may come before its delivery. Null keys are no records.
+    """
+    rows = records.select(key.alias("ref"), F.col("loaded_at").cast("timestamp_ntz").alias("at"), F.col("deleted_at").isNotNull().alias("gone"), F.coalesce(was_known if was_known is not None else F.lit(False), F.lit(False)).alias("known")).where("ref is not null")
+    signs = F.when(F.col("gone") & F.col("known"), F.array(F.lit(-1))).when(F.col("known"), F.array().cast("array<int>")).when(F.col("gone"), F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))
+    return rows.select(F.lit(field).alias("field"), "ref", F.lit("load").alias("what"), "at", F.explode(signs.cast("array<bigint>")).alias("n"))
 
 
 def apply_deltas(*parts: DataFrame) -> DataFrame:
     """The state after all ``parts`` (states and deltas alike); partial sums are formed before the shuffle."""
-    whole = reduce(DataFrame.unionByName, parts)
-    return whole.groupBy("field", "ref").agg(
-        F.sum("n_refs").alias("n_refs"), F.sum("n_exists").alias("n_exists"), F.min("first_cited").alias("first_cited"), F.max("last_cited").alias("last_cited"), F.min("first_loaded").alias("first_loaded")
+    return reduce(DataFrame.unionByName, parts).groupBy("field", "ref", "what", "at").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def key_counts(state: DataFrame) -> DataFrame:
+    """Per key: ``n_refs``, ``n_exists``, ``first_cited``, ``last_cited``, ``first_loaded``; times of what is still there."""
+    of = lambda what, time: F.when((F.col("what") == what) & (F.col("n") > 0), time)
+    count = lambda what: F.sum(F.when(F.col("what") == what, F.col("n")).otherwise(0))
+    at = F.col("at")
+    return state.groupBy("field", "ref").agg(
+        count("cite").alias("n_refs"), count("load").alias("n_exists"), F.min(of("cite", at)).alias("first_cited"), F.max(of("cite", at)).alias("last_cited"), F.min(of("load", at)).alias("first_loaded")
     )
 
 
 def orphan_keys(state: DataFrame) -> DataFrame:
-    """Keys cited while not there: never loaded, deleted, or loaded after the first citation."""
-    return state.where("n_refs > 0 and (n_exists <= 0 or first_loaded > first_cited)")
+    """Keys (``key_counts``) cited while not there: never loaded, deleted, or loaded after the first citation."""
+    return key_counts(state).where("n_refs > 0 and (n_exists <= 0 or first_loaded > first_cited)")
 
 
 def orphan_references(cited: DataFrame, state: DataFrame) -> DataFrame:
