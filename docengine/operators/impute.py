@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import cut_lineage
 
 RANK, ROUNDS, RIDGE, CATEGORY_FEATURES = 4, 4, 0.5, 64
+MOST_WEIGHT = 8  # records of one entity that count, so that one with very many does not decide the factors alone
 SALTS = 16
 OWN_FEATURES, LOOKUPS = 48, 20_000
 
@@ -41,7 +42,7 @@ def _dense(pdf: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     size = pdf["features"].map(len).to_numpy()
     at = (np.repeat(np.arange(len(pdf)), size), np.concatenate(pdf["features"].to_numpy()).astype(int)) if len(pdf) else ([], [])
     if len(pdf):
-        cells[at], weights[at] = np.concatenate(pdf["cells"].to_numpy()), np.minimum(np.concatenate(pdf["weights"].to_numpy()), 8)
+        cells[at], weights[at] = np.concatenate(pdf["cells"].to_numpy()), np.minimum(np.concatenate(pdf["weights"].to_numpy()), MOST_WEIGHT)
     return cells, weights
 
 

@@ -8,6 +8,7 @@ the ordinal of the parent row. Only rows whose quotes are ambiguous go through t
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,58 +16,66 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-PIECE, LONG = 1 << 20, 4 << 20  # bytes of text scanned at once; characters above which a text is scanned alone
+PIECE, LONG = 1 << 20, 4 << 20  # bytes of text scanned at once; characters above which a text is scanned alone, without arrays per byte
 _QUOTE, _ESCAPE, _OPEN, _CLOSE, _SLASH, _COMMA = (ord(c) for c in '"\\[]/,')
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _STRONG = np.zeros(256, bool)
 _STRONG[[ord(c) for c in "|;\t\n\r"]] = True
 _ANY = _STRONG.copy()
-_ANY[[_SLASH, _COMMA, _OPEN]] = True
+_ANY[[_SLASH, _COMMA]] = True
+_ODD = np.zeros(256, bool)  # beyond ASCII, and separators that only Unicode takes for blanks
+_ODD[128:] = _ODD[28:32] = True
+_NEAR_BLANKS = np.zeros(256, bool)
+_NEAR_BLANKS[[_QUOTE, _SLASH, 9, 10, 13]] = True
+_QUOTED = re.compile(r'"[^"]*+(?:""[^"]*+)*+"')
+_LISTED = re.compile(r'"(?:[^"\\]|\\.)*+"?|(?:[^",\\]|\\\\|\\"|\\)++|,', re.S)
+_LIST = re.compile(r'\[\s*".*"\s*\]', re.S)
+_PLACES = {False: re.compile(r'["|;,/\t\n\r]'), True: re.compile(r'["|;,/]|\s')}
 
 
-def _levels(text: str, quoted: np.ndarray | list[bool], atomic: bool) -> list[bool]:
-    """Where an unpacked text is cut, at the strongest delimiter it has outside quotes."""
-    n = len(text)
-    if atomic:
-        return [not quoted[i] and (c in "|;/," or c.isspace()) for i, c in enumerate(text)]
-    strong = [not quoted[i] and c in "|;\t\n\r" for i, c in enumerate(text)]
-    if any(strong):
-        return strong
-    slash = [not quoted[i] and c == "/" and 0 < i < n - 1 and text[i - 1].isspace() and text[i + 1].isspace() for i, c in enumerate(text)]
-    if any(slash):
-        return slash
-    return [not quoted[i] and c == "," for i, c in enumerate(text)]
+def _exact(text: str, atomic: bool) -> list[str]:
+    """The items of one text, delimiter by delimiter: what the scan of whole batches gives for rows without doubt.
+
+    A quote opens only at the start of an item and closes only at its end; else it is a mark like any other. A list in
+    brackets whose first and last item are quoted is cut at commas outside quotes, which a backslash escapes.
+    """
+    text = text.strip()
+    if _LIST.fullmatch(text) and len(_unescaped_quotes(text)) % 2 == 0:
+        items, now = [], []
+        for m in _LISTED.finditer(text[1:-1]):
+            if m.group() == ",":
+                items.append("".join(now))
+                now = []
+            else:
+                now.append(m.group())
+        items = [x.strip() for x in [*items, "".join(now)]]
+        return [y for x in items if (y := _unescaped(x) if len(x) > 1 and x[0] == x[-1] == '"' else x).strip()]
+    cuts: dict[str, list[int]] = {"strong": [], "slash": [], "comma": [], "blank": []}
+    fresh, at, n = 0, 0, len(text)
+    while m := _PLACES[atomic].search(text, at):
+        i, c = m.start(), m.group()
+        at = i + 1
+        if c == '"':
+            if text[fresh:i].strip() == "" and (q := _QUOTED.match(text, i)):
+                end = q.end()
+                rest = end + (len(text[end:]) - len(text[end:].lstrip(" "))) if text[end : end + 1] == " " else end
+                if rest == n or text[rest] in "|;,/\t\n\r" or (atomic and text[end].isspace()):
+                    at = end
+            continue
+        fresh = at
+        kind = "strong" if c in "|;\t\n\r" else "comma" if c == "," else "blank" if c != "/" else ""
+        if c == "/" and (atomic or (0 < i < n - 1 and text[i - 1].isspace() and text[i + 1].isspace())):
+            kind = "slash"
+        if kind:
+            cuts[kind].append(i)
+    used = sorted(x for k in cuts for x in cuts[k]) if atomic else cuts["strong"] or cuts["slash"] or cuts["comma"]
+    items = [_unquoted(text[a:b].strip()) for a, b in zip([0, *(i + 1 for i in used)], [*used, n])]
+    return [x for x in items if x.strip()]
 
 
-def _exact(text: str, atomic: bool) -> list[str]:
-    """The scanner for ambiguous rows: a quote opens only at the start of an item and closes only at its end."""
-    quoted, i, n, at_start = [False] * len(text), 0, len(text), True
-    while i < n:
-        c = text[i]
-        if c == '"' and at_start:
-            j = i + 1
-            while j < n:
-                if text[j] == '"':
-                    if j + 1 < n and text[j + 1] == '"':
-                        j += 2
-                        continue
-                    break
-                j += 1
-            rest = text[j + 1 :].lstrip(" ") if j < n else "x"
-            if j < n and (not rest or rest[0] in "|;,/\t\n\r" or (atomic and text[j + 1].isspace())):
-                for k in range(i, j + 1):
-                    quoted[k] = True
-                i, at_start = j + 1, False
-                continue
-        if not c.isspace() or c in "\t\n\r":
-            at_start = c in "|;,/\t\n\r"
-        i += 1
-    cut, items, start = _levels(text, quoted, atomic), [], 0
-    for i in [*(k for k in range(n) if cut[k]), n]:
-        items.append(_unquoted(text[start:i].strip()))
-        start = i + 1
-    return [x for x in items if x]
+def _unescaped_quotes(text: str) -> list[str]:
+    return re.findall(r'(?<!\\)(?:\\\\)*+"', text)
 
 
 def _unquoted(item: str) -> str:
@@ -134,10 +143,22 @@ def split_packed(values: pa.Array, atomic: bool = False) -> pa.ListArray:
     if atomic:
         proper |= opens & (index > 0) & space[np.maximum(index - 1, 0)]
     opener = np.maximum.accumulate(np.where(opens, index, -1))
-    hidden = ~outside & ~quote & _ANY[data] & (opener >= 0) & ~proper[np.maximum(opener, 0)] & ~is_list[row]
+    marks = _ANY[data] | (space if atomic else False)
+    hides = ~outside & ~quote & marks & (opener >= 0) & ~is_list[row]
     ambiguous = np.zeros(n, bool)
-    ambiguous[row[hidden]] = True
-    ambiguous |= odd
+    ambiguous[row[hides & ~proper[np.maximum(opener, 0)]]] = True
+    # nor one that does not close at an item's end
+    closes = quote & outside
+    after = ahead[np.minimum(index + 1, size)]
+    shut = (after >= off[1:][row]) | _ANY[data[np.minimum(after, size - 1)]]
+    if atomic:
+        shut |= space[np.minimum(index + 1, size - 1)]
+    hiders = np.zeros(size + 1, bool)
+    hiders[opener[hides]] = True
+    ambiguous[row[closes & ~shut & hiders[opener]]] = True
+    # what only Unicode takes for a blank counts where blanks decide
+    strange = np.bincount(row[_ODD[data]], minlength=n) > 0
+    ambiguous |= odd | strange & (np.full(n, atomic) | (np.bincount(row[_NEAR_BLANKS[data]], minlength=n) > 0))
     is_list &= ~odd
     # delimiters
     has = lambda mask: np.bincount(row[mask], minlength=n) > 0
@@ -148,7 +169,7 @@ def split_packed(values: pa.Array, atomic: bool = False) -> pa.ListArray:
     if atomic:
         cut = np.where(in_list, comma, strong | comma | slash | (outside & space & body))
     else:
-        slash &= np.append(False, space[:-1]) & np.append(space[1:], False)
+        slash &= np.append(False, space[:-1]) & np.append(space[1:], False) & (index > start[row]) & (index < end[row] - 1)
         level = np.where(has(strong), 0, np.where(has(slash), 1, 2))
         cut = np.where(in_list, comma, np.choose(level[row], [strong, slash, comma]))
     cut &= ~ambiguous[row]
@@ -190,11 +211,11 @@ def split_packed(values: pa.Array, atomic: bool = False) -> pa.ListArray:
         for i in np.flatnonzero(special):
             parts[i] = _unescaped(parts[i]) if is_list[parent[i]] else _unquoted(parts[i])
         for r in np.flatnonzero(ambiguous):
-            more = _exact(values[int(r)].as_py().strip(), atomic)
+            more = _exact(values[int(r)].as_py(), atomic)
             parts += more
             parent = np.append(parent, np.full(len(more), r))
         order = np.argsort(parent, kind="stable")
-        items, parent = pa.array(parts, pa.string()).take(pa.array(order)), parent[order]
+        items, parent = pc.utf8_trim_whitespace(pa.array(parts, pa.string()).take(pa.array(order))), parent[order]
     full = pc.greater(pc.binary_length(items), 0)
     mask = np.asarray(full.to_numpy(zero_copy_only=False), bool)
     items, parent = items.filter(full), parent[mask]
@@ -216,15 +237,8 @@ def _pieces(values: pa.Array) -> Iterator[tuple[int, int]]:
 def _split_piece(values: pa.Array, atomic: bool) -> pa.ListArray:
     if len(values) > 1 or (values[0].as_py() or "") == "" or len(values[0].as_py()) <= LONG:
         return split_packed(values, atomic)
-    text = values[0].as_py().strip()  # one very long text: no arrays per byte
-    if text.startswith("[") and text.endswith("]"):
-        try:
-            got = json.loads(text, strict=False)
-            if isinstance(got, list) and all(isinstance(x, str) for x in got):
-                return pa.array([[x.strip() for x in got if x.strip()]], pa.list_(pa.string()))
-        except ValueError:
-            pass
-    return pa.array([_exact(text, atomic)], pa.list_(pa.string()))
+    items = pc.utf8_trim_whitespace(pa.array(_exact(values[0].as_py(), atomic), pa.string()))  # one very long text
+    return pa.array([[x for x in items.to_pylist() if x]], pa.list_(pa.string()))
 
 
 def unpack(df: DataFrame, value: str = "value", atomic: bool = False) -> DataFrame:

@@ -113,7 +113,8 @@ def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imputed(spark, sf_dir).select("row_id", "field")
+    """The cells filled: those the model decodes a value for."""
+    return imputed(spark, sf_dir).where("value is not null").select("row_id", "field")
 
 
 def p7_filled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,20 @@ def test_one_text_beyond_the_arrays():
     assert packed._split_piece(pa.array([json.dumps(["a;b"] * (packed.LONG // 5))]), False).to_pylist() == [["a;b"] * (packed.LONG // 5)]
 
 
+def test_both_scans_agree():
+    """Texts of any length, quoting and blanks: the scan of whole batches and that of one text give the same items."""
+    import random
+
+    from docengine.operators import packed
+
+    rnd, marks = random.Random(4), [*'ab"";|,/ \t\n[]\\1', '""', '" ', '",', " / ", "é", "\u00a0", '["', '"]', "\x1c", "\r"]
+    for atomic in (False, True):
+        texts = ["".join(rnd.choice(marks) for _ in range(rnd.randint(0, 14))) for _ in range(20_000)] + ['["' + "".join(rnd.choice(marks) for _ in range(rnd.randint(0, 9))) + '"]' for _ in range(8_000)]
+        texts += ['"x;y"z|w', '["a", 1, "b"]', '["a;b", 1]', '"a""b;c"; d', 'ab"c;d"e', '"a;b" ,c']
+        alone = [x for t in texts for x in pa.compute.utf8_trim_whitespace(pa.array(packed._exact(t, atomic), pa.string())).to_pylist() if x]
+        assert [x for g in packed.split_packed(pa.array(texts), atomic).to_pylist() for x in g] == alone
+
+
 def test_clashing_names(spark):
     df = spark.createDataFrame([("a|b", 7, 8, 9)], "value string, pos int, n_values int, index int")
     assert sorted((r.pos, r.value, r.n_values, r["index"]) for r in unpack(df).collect()) == [(1, "a", 2, 9), (2, "b", 2, 9)]
