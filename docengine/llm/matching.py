@@ -1,27 +1,33 @@
 """Two tables that describe the same undertakings without a common key, matched with a confidence.
 
-Both tables are sorted together by several composite keys: the place's two words forwards and backwards, each also from the
-last letter on, and one place word with the device or developer. Within a sliding window of each order the records of the
-two sides are compared field by field with weights; those of equal keys always are. Of the pairs that stand, each record of the second table keeps the
-project of highest confidence.
+Both tables are sorted together by several composite keys: the place's words forwards and backwards, each also from the
+last letter on, and one place word with a word of device or developer. Within a sliding window of each order the records of the
+two sides are compared field by field with weights; those of equal keys always are. Records alike in all fields are one class and
+compared once. Of the pairs that stand, records of one undertaking are grouped, and groups and projects are assigned one to one
+so that the total confidence is largest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
 from ..functions.countries import canonical_country
 from ..session import cut_lineage
-from .lcs import lcs_ratio
-from .project_names import REGION, lead_of, owners, place_of, resource_fits, slug, telling, words
+from .assignment import best_assignment
+from .components import components
+from .lcs import lcs_ratio, lcs_ratios
+from .project_names import REGION, RESOURCES, lead_of, owners, place_of, resource_fits, slug, telling, words
 
 WINDOW = 12
 THRESHOLD = 0.6
+REACH = 6  # how far apart in a record's name place and owner may stand
 # weights of the field similarities
 PLACE, COUNTRY, TECHNOLOGY, OWNER = 0.55, 0.15, 0.1, 0.2
+FIELDS = ("place", "owners", "others", "lead", "country", "kind")
 PROFILE = "side string, id string, place array<string>, owners array<string>, others array<string>, lead array<string>, country string, kind string, keys array<string>"
 
 
@@ -41,31 +47,28 @@ def _orders(pairs: set[tuple[str, str]], owned: set[tuple[str, str]]) -> set[str
     return keys | {f"5{b} {a}" for a, b in owned}
 
 
-def _project_rows(pdf: pd.DataFrame) -> list[tuple]:
-    out = []
-    for r in pdf.fillna("").to_dict("records"):
-        place = place_of(r["name"], r["device"], r["developer"], r["primre_website"], r["location"])
-        own = owners(r["device"], r["developer"])
-        extra = [w for w in telling(r["name"]) if max((lcs_ratio(w, p) for p in place), default=0.0) < 0.7]
-        pairs = {place} if len(place) == 2 else set()
-        owned = {(p, o) for p in place for o in (own[:1] + owners("", r["developer"])[:1])}
-        out.append(("p", r["id"], list(place), list(owners(r["device"], "")), extra, list(owners("", r["developer"])), canonical_country(r["country"]), r["technology"], sorted(_orders(pairs, owned))))
-    return out
+def _project_row(r: dict) -> tuple:
+    place = place_of(r["name"], r["device"], r["developer"], r["primre_website"], r["location"])
+    own = owners(r["device"], r["developer"])
+    extra = [w for w in telling(r["name"]) if max((lcs_ratio(w, p) for p in place), default=0.0) < 0.7]
+    owned = {(p, o) for p in place for o in own}
+    return "p", r["id"], list(place), list(owners(r["device"], "")), extra, list(owners("", r["developer"])), canonical_country(r["country"]), r["technology"], sorted(_orders(set(zip(place, place[1:])), owned))
 
 
 def _variant_rows(pdf: pd.DataFrame) -> list[tuple]:
-    """As ``_project_rows``, a row for each different place and other words that the names (``names``) of a project tell.
+    """A row for each different place and other words that the names (``name`` and ``names``) of a project tell.
 
     A variant without a place of its own, such as one of device or developer only, stands with the place of the main name.
     """
     out = []
-    for r in pdf.to_dict("records"):
-        main = _project_rows(pd.DataFrame([{k: v for k, v in r.items() if k != "names"}]))[0]
+    names = pdf["names"] if "names" in pdf else [None] * len(pdf)
+    for r, others in zip(pdf.drop(columns="names", errors="ignore").fillna("").to_dict("records"), names):
+        main = _project_row(r)
         seen = {(tuple(main[2]), tuple(main[4])): main}
         own = [*main[3], *main[5]]
-        for name in sorted({*(r["names"] if r["names"] is not None else ())} - {r["name"]}):
-            row = _project_rows(pd.DataFrame([{k: name if k == "name" else v for k, v in r.items() if k != "names"}]))[0]
-            if len(row[2]) != 2 or any(lcs_ratio(w, o) >= 0.8 for w in row[2] for o in own):
+        for name in sorted({*(others if others is not None else ())} - {r["name"]}):
+            row = _project_row(r | {"name": name})
+            if len(row[2]) < 2 or any(lcs_ratio(w, o) >= 0.8 for w in row[2] for o in own):
                 extra = [w for w in telling(name) if max((lcs_ratio(w, p) for p in main[2]), default=0.0) < 0.7]
                 row = (*main[:4], extra, *main[5:])
             seen.setdefault((tuple(row[2]), tuple(row[4])), row)
@@ -81,8 +84,8 @@ def _record_rows(pdf: pd.DataFrame) -> list[tuple]:
         aside = [w for part in r["location"].split(",") for w in (telling(part) if not set(words(part)) & REGION else []) if w not in lands]
         spots = list(slug(r["primre_website"]))
         pairs = {x for s in (named, aside, spots) for x in zip(s, s[1:])}
-        told = len(spots) == 2 or len(aside) >= 2  # the place is whole elsewhere
-        owned = set() if told or len(named) > 4 else {(a, b) for a in named for b in named if a != b}
+        told = len(spots) >= 2 or len(aside) >= 2  # the place is whole elsewhere
+        owned = set() if told else {(named[i], named[j]) for i in range(len(named)) for j in range(max(0, i - REACH), min(len(named), i + REACH + 1)) if named[i] != named[j]}
         out.append(("r", r["id"], named, spots, aside, lead_of(r["primre_name"]), canonical_country(r["country"]), r["primre_resource"], sorted(_orders(pairs, owned))))
     return out
 
@@ -102,8 +105,9 @@ def confidence(project: tuple, record: tuple) -> float:
         return 0.0
     pool = [*named, *spots, *aside]
     near = [max((lcs_ratio(p, w) for w in pool), default=0.0) for p in place]
-    whole = len(place) == 2 and min(near) >= 0.75 and sum(near) / 2 >= 0.82
-    if not whole and len(place) == 2:  # both words written as one
+    likeness = sum(near) / len(near)
+    whole = len(place) >= 2 and min(near) >= 0.75 and likeness >= 0.82
+    if not whole and len(place) >= 2:  # the words written as one
         whole = any(lcs_ratio("".join(place), w) >= 0.88 for w in pool if len(w) > 9)
     own = [*device, *developer, *extra]
     hit = [w for w in named if max((lcs_ratio(w, o) for o in own), default=0.0) >= 0.8]
@@ -111,7 +115,7 @@ def confidence(project: tuple, record: tuple) -> float:
     if developer and [w for w in strange if w in lead] or device and [w for w in strange if w not in lead]:
         return 0.0
     if whole:
-        score = PLACE * (sum(near) / 2 if min(near) > 0 else 0.9)
+        score = PLACE * (likeness if min(near) > 0 else 0.9)
     elif max(near) >= 0.85 and hit and not strange and not [w for w in aside + spots if max(lcs_ratio(w, p) for p in place) < 0.7]:
         score = PLACE * 0.6 * max(near)
     else:
@@ -122,87 +126,106 @@ def confidence(project: tuple, record: tuple) -> float:
     return min(score, 1.0)
 
 
-def _near(a: str, b: str) -> bool:
-    """Whether two sort keys of one order are alike enough to look at the records: cheap, before the fields are compared."""
-    n, m = len(a), len(b)
-    # the ratio's upper bound first
-    return 2 * min(n, m) >= 0.7 * (n + m) and (a == b or lcs_ratio(a, b) >= 0.7)
+def _met(keys: np.ndarray, sides: np.ndarray, window: int, since: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Places (project, record) of the keys of two sides, in order, that stand near one another and are alike.
+
+    A key meets the last ``window`` keys of the other side among the ``4 * window`` before it. Only pairs whose later key is at
+    ``since`` or after are given.
+    """
+    first: list[np.ndarray] = []
+    second: list[np.ndarray] = []
+    for side, other in (("p", "r"), ("r", "p")):
+        at, theirs = np.flatnonzero(sides == side), np.flatnonzero(sides == other)
+        at = at[at >= since]
+        back = np.searchsorted(theirs, at)[:, None] - 1 - np.arange(window)
+        there = theirs[np.maximum(back, 0)] if len(theirs) else np.zeros_like(back)
+        near = (back >= 0) & (at[:, None] - there <= 4 * window) if len(theirs) else np.zeros(back.shape, bool)
+        here = np.broadcast_to(at[:, None], back.shape)[near]
+        (first if side == "p" else second).append(here)
+        (second if side == "p" else first).append(there[near])
+    p, r = np.concatenate(first), np.concatenate(second)
+    size = np.char.str_len(keys) if len(keys) else np.zeros(0, int)
+    fits = (keys[p].astype("U1") == keys[r].astype("U1")) & (2 * np.minimum(size[p], size[r]) >= 0.7 * (size[p] + size[r])) & (keys[p] != keys[r])
+    p, r = p[fits], r[fits]
+    alike = lcs_ratios(keys[p], keys[r]) >= 0.7
+    return p[alike], r[alike]
 
 
 def _neighbours(keys: DataFrame, window: int) -> DataFrame:
     """Pairs (``project_id``, ``primre_row_id``) met within the sliding window of the global order of ``key`` (``key``, ``side``, ``id``).
 
-    The window counts distinct keys of a side, however many rows have them. Keys are range-partitioned; the ends of
-    neighbouring partitions are windowed once more together. All rows of equal or neighbouring keys meet, by joins on the
-    keys, which Spark splits where a key is hot.
+    The window counts distinct keys of a side, however many rows have them. Keys are range-partitioned; where a partition begins, its
+    first keys are windowed once more after the keys before it, from as many partitions as these lie in, so the result
+    does not depend on how the order is cut. All rows of equal or neighbouring keys meet, by joins on the keys, which Spark
+    splits where a key is hot.
     """
     of = lambda s, key, one: keys.where(F.col("side") == s).select(F.col("key").alias(key), F.col("id").alias(one))
     # equal keys meet without the window
     same = of("p", "key", "project_id").join(of("r", "key", "primre_row_id"), "key").select("project_id", "primre_row_id")
-    distinct = keys.select("key", "side").distinct().withColumn("id", F.col("key"))
-    ordered = distinct.repartitionByRange("key", "side", "id").sortWithinPartitions("key", "side", "id")
-    schema = "project_id string, primre_row_id string, part int, key string, side string, id string"
+    ordered = keys.select("key", "side").distinct().repartitionByRange("key", "side").sortWithinPartitions("key", "side").withColumn("part", F.spark_partition_id())
+    reach = 4 * window
+    schema = "p string, r string, part int, n bigint, place bigint, key string, side string"
     columns = [c.split(" ")[0] for c in schema.split(", ")]
-
-    def slide(items: list[tuple], found: set) -> None:
-        """``items``: (key, side, id) in order."""
-        ps: list[tuple] = []
-        rs: list[tuple] = []
-        before = ""
-        for at, (key, side, one) in enumerate(items):
-            if (head := key[:3]) != before:  # keys of another order or beginning are no neighbours
-                before, ps, rs = head, [], []
-            other, own = (rs, ps) if side == "p" else (ps, rs)
-            for place, near, two in other:
-                if at - place <= window * 4 and _near(key, near):
-                    found.add((one, two) if side == "p" else (two, one))
-            own.append((at, key, one))
-            if len(own) > window:
-                own.pop(0)
+    filled = lambda many, **cols: pd.DataFrame({c: list(cols.get(c, [None] * many)) for c in columns}, columns=columns, dtype=object)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        head: list[tuple] = []
-        tail: list[tuple] = []
+        head, tail, n, part = [], pd.DataFrame({"key": [], "side": []}), 0, None
         for pdf in frames:
-            found: set = set()
-            items = list(zip(pdf["key"], pdf["side"], pdf["id"]))
-            slide(tail + items, found)
-            head += items[: max(0, 4 * window - len(head))]
-            tail = (tail + items)[-4 * window :]
-            yield pd.DataFrame([(p, r, None, None, None, None) for p, r in sorted(found)], columns=columns)
-        yield pd.DataFrame([(None, None, part, *x) for x in head] + [(None, None, part + 1, *x) for x in tail], columns=columns)
+            if len(pdf) == 0:
+                continue
+            part = int(pdf["part"].iloc[0])
+            now = pd.concat([tail, pdf[["key", "side"]]], ignore_index=True)
+            names, sides = now["key"].to_numpy(str), now["side"].to_numpy(str)
+            p, r = _met(names, sides, window, len(tail))
+            yield filled(len(p), p=names[p].tolist(), r=names[r].tolist())
+            if n < reach:
+                head += [(part, n + i, k, s) for i, (k, s) in enumerate(zip(pdf["key"].iloc[: reach - n], pdf["side"]))]
+            n += len(pdf)
+            tail = now.iloc[-reach:]
+        if part is not None:
+            ends = {place: (part, place, k, s) for part, place, k, s in head} | {n - len(tail) + i: (part, n - len(tail) + i, k, s) for i, (k, s) in enumerate(zip(tail["key"], tail["side"]))}
+            yield filled(len(ends), n=[n] * len(ends), **dict(zip(("part", "place", "key", "side"), zip(*ends.values()))))
 
     once = cut_lineage(ordered.mapInPandas(run, schema))
-
-    def seam(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: dict[int, list[tuple]] = {}
-        for pdf in frames:
-            for part, *x in zip(pdf["part"], pdf["key"], pdf["side"], pdf["id"]):
-                waiting.setdefault(part, []).append(tuple(x))
-        found: set = set()
-        for items in waiting.values():
-            slide(sorted(items), found)
-        yield pd.DataFrame(sorted(found), columns=columns[:2])
-
-    seams = once.where("part is not null").repartition("part").mapInPandas(seam, "project_id string, primre_row_id string")
-    near = once.where("part is null").select("project_id", "primre_row_id").unionByName(seams).toDF("_p", "_r").where("_p <> _r").distinct()
-    near = near.join(of("p", "_p", "project_id"), "_p").join(of("r", "_r", "primre_row_id"), "_r").select("project_id", "primre_row_id")
+    # which partitions' first keys the last keys of a partition go before; a row a partition comes to the driver
+    counts = [(r["part"], r["n"]) for r in once.where("part is not null").groupBy("part").agg(F.max("n").alias("n")).orderBy("part").collect()]
+    follow = []
+    for i, (part, n) in enumerate(counts):
+        between = 0
+        for later, m in counts[i + 1 :]:
+            if between >= reach:
+                break
+            follow.append((part, later, n - (reach - between)))  # from this place on
+            between += m
+    spark = keys.sparkSession
+    ends = once.where("part is not null").select("part", "place", "key", "side")
+    sent = ends.join(F.broadcast(spark.createDataFrame(follow, "part int, later int, since bigint")), "part").where("place >= since")
+    sent = sent.select(F.col("later").alias("seam"), "part", "place", "key", "side").unionByName(ends.where(F.col("place") < reach).select(F.col("part").alias("seam"), "part", "place", "key", "side"))
+
+    def seams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["seam", "part", "place", "key", "side"])], ignore_index=True)
+        for seam, rows in rest.groupby("seam"):
+            rows = rows.sort_values(["part", "place"])
+            names, sides = rows["key"].to_numpy(str), rows["side"].to_numpy(str)
+            p, r = _met(names, sides, window, int((rows["part"] < seam).sum()))
+            yield pd.DataFrame({"p": names[p].tolist(), "r": names[r].tolist()}, dtype=object)
+
+    met = once.where("part is null").select("p", "r").unionByName(sent.repartition("seam").mapInPandas(seams, "p string, r string")).distinct()
+    near = met.join(of("p", "p", "project_id"), "p").join(of("r", "r", "primre_row_id"), "r").select("project_id", "primre_row_id")
     return same.unionByName(near).distinct()
 
 
 def _compared(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """``pairs`` whose records stand together, with their confidence."""
-    fields = ["place", "owners", "others", "lead", "country", "kind"]
-    side = lambda s, key: profiles.where(F.col("side") == s).select(F.col("id").alias(key), F.struct(*fields).alias(s))
+    side = lambda s, key: profiles.where(F.col("side") == s).select(F.col("id").alias(key), F.struct(*FIELDS).alias(s))
     both = pairs.join(side("p", "project_id"), "project_id").join(side("r", "primre_row_id"), "primre_row_id")
-    flat = both.select("project_id", "primre_row_id", *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in "pr" for f in fields])
+    p, r = F.col("p"), F.col("r")
+    both = both.where((p["country"] == "") | (r["country"] == "") | (p["country"] == r["country"]))
+    flat = both.select("project_id", "primre_row_id", *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in "pr" for f in FIELDS])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            p, r = (zip(*[pdf[f"{s}_{f}"].map(list) if f in fields[:4] else pdf[f"{s}_{f}"] for f in fields]) for s in "pr")
+            p, r = (zip(*[pdf[f"{s}_{f}"].map(list) if f in FIELDS[:4] else pdf[f"{s}_{f}"] for f in FIELDS]) for s in "pr")
             out = pdf[["project_id", "primre_row_id"]].copy()
             out["confidence"] = [confidence(x, y) for x, y in zip(p, r)]
             yield out
@@ -210,8 +233,54 @@ def _compared(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     return flat.mapInPandas(run, "project_id string, primre_row_id string, confidence double").where(F.col("confidence") >= THRESHOLD)
 
 
+def _classes(rows: DataFrame, side: str) -> DataFrame:
+    """Adds ``cls``, one for all rows whose profiles are equal."""
+    return rows.where(F.col("side") == side).withColumn("cls", F.concat(F.lit(side), F.hex(F.xxhash64(*FIELDS)), F.hex(F.xxhash64(F.lit(1), *FIELDS))))
+
+
+def assign(edges: DataFrame, records: DataFrame) -> DataFrame:
+    """Of ``edges`` (``project_id``, ``record``, ``confidence``) those of a one-to-one assignment of largest total confidence.
+
+    ``records`` (``record``, ``country``, ``kind``, ``n`` copies). Records with the same best project are one undertaking and stay
+    together, but for those whose country or resource contradicts that of the surest among them. A group and a project that no other
+    group wants are settled at once; the rest is solved by connected component. Within one, a project keeps at most as many
+    groups as the component has projects: more can never win, so a component of one crowded project stays small.
+    """
+    rank = lambda *o: F.row_number().over(Window.partitionBy("record").orderBy(*o))
+    best = edges.withColumn("_i", rank(F.desc("confidence"), "project_id")).where("_i = 1").drop("_i").join(records, "record")
+    lead = best.groupBy("project_id").agg(F.min_by(F.struct("record", "country", "kind"), F.struct((-F.col("confidence")).alias("c"), "record")).alias("lead"))
+    told = lambda k: F.filter(F.transform(F.split(F.lower(k), ","), F.trim), lambda x: x.isin(*RESOURCES))
+    apart = lambda a, b, none: (a != none) & (b != none) & (a != b)
+    other = apart(F.col("country"), F.col("lead.country"), "") | ((F.size(told(F.col("kind"))) > 0) & (F.size(told(F.col("lead.kind"))) > 0) & ~F.arrays_overlap(told(F.col("kind")), told(F.col("lead.kind"))))
+    grouped = best.join(lead, "project_id").select("record", F.when(other, F.col("record")).otherwise(F.col("lead.record")).alias("grp"), "n")
+    wants = cut_lineage(edges.join(grouped, "record").groupBy("grp", "project_id").agg(F.sum(F.col("confidence") * F.col("n")).alias("w")))
+    n = wants.groupBy("project_id").agg(F.count("*").alias("_n"))
+    ranked = wants.join(n, "project_id").withColumn("_i", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("w"), "project_id")))
+    sure = ranked.where("_i = 1 and _n = 1").select("grp", "project_id")
+    open_ = cut_lineage(wants.join(sure.select("grp"), "grp", "left_anti"))
+    if open_.isEmpty():
+        settled = sure
+    else:
+        node = lambda c: F.concat(F.lit(c[0] + ":"), F.col(c))
+        links = open_.select(node("grp").alias("a"), node("project_id").alias("b"))
+        parts = components(links.select(F.col("a").alias("id")).union(links.select("b")), links)
+        held = open_.withColumn("id", node("project_id")).join(parts, "id").drop("id")
+        size = held.groupBy("component").agg(F.count_distinct("project_id").alias("_m"))
+        top = F.row_number().over(Window.partitionBy("project_id").orderBy(F.desc("w"), "grp"))
+        held = held.join(size, "component").withColumn("_k", top).where("_k <= _m").select("component", "grp", "project_id", "w")
+
+        def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+            edges: dict[str, dict[str, float]] = {}
+            for g, p, w in zip(pdf["grp"], pdf["project_id"], pdf["w"]):
+                edges.setdefault(g, {})[p] = w
+            return pd.DataFrame(list(best_assignment(edges).items()), columns=["grp", "project_id"])
+
+        settled = sure.unionByName(held.groupBy("component").applyInPandas(solve, "grp string, project_id string"))
+    return edges.join(grouped.join(settled, "grp").select("record", "project_id"), ["record", "project_id"]).select("project_id", "record", "confidence")
+
+
 def match(projects: DataFrame, records: DataFrame, window: int = WINDOW, other_names: DataFrame | None = None) -> DataFrame:
-    """``project_id``, ``primre_row_id``, ``confidence`` of the matched pairs; a record goes to one project at most.
+    """``project_id``, ``primre_row_id``, ``confidence`` of the matched pairs; a record goes to one project at most, a project has the records of one undertaking.
 
     ``projects``: ``project_id``, ``name``, ``device``, ``developer``, ``country``, ``technology``, ``primre_website``,
     ``location``, rows of one project together count as one. ``records``: ``primre_row_id``, ``primre_name``, ``country``,
@@ -234,8 +303,16 @@ def match(projects: DataFrame, records: DataFrame, window: int = WINDOW, other_n
 
         return run
 
-    both = cut_lineage(p.mapInPandas(rows(_variant_rows), PROFILE).unionByName(r.mapInPandas(rows(_record_rows), PROFILE)))
-    keys = both.select(F.explode("keys").alias("key"), "side", "id").distinct()  # names of one project share keys
+    mine = _classes(p.mapInPandas(rows(_variant_rows), PROFILE), "p")
+    theirs = cut_lineage(_classes(r.mapInPandas(rows(_record_rows), PROFILE), "r"))
+    # one row a class; of projects alike in all fields the smallest id stands for all
+    both = mine.groupBy("side", "cls", *FIELDS, "keys").agg(F.min("id").alias("first")).unionByName(theirs.groupBy("side", "cls", *FIELDS, "keys").agg(F.min("id").alias("first")))
+    both = cut_lineage(both.withColumnRenamed("cls", "id"))
+    keys = both.select(F.explode("keys").alias("key"), "side", "id")
     found = _compared(_neighbours(keys, window), both)
-    best = Window.partitionBy("primre_row_id").orderBy(F.desc("confidence"), "project_id")
-    return found.withColumn("_i", F.row_number().over(best)).where("_i = 1").drop("_i")
+    stands = both.where("side = 'p'").select(F.col("id").alias("cls"), F.col("first").alias("project_id"))
+    edges = found.select(F.col("project_id").alias("cls"), F.col("primre_row_id").alias("record"), "confidence").join(stands, "cls")
+    edges = cut_lineage(edges.groupBy("project_id", "record").agg(F.max("confidence").alias("confidence")))
+    records = theirs.groupBy(F.col("cls").alias("record"), "country", "kind").agg(F.count_distinct("id").alias("n"))
+    members = theirs.select(F.col("cls").alias("record"), F.col("id").alias("primre_row_id")).distinct()
+    return assign(edges, records).join(members, "record").select("project_id", "primre_row_id", "confidence")

@@ -68,7 +68,7 @@ def test_recall_against_all_pairs(spark):
     others = ["primre_name", "country", "primre_resource", "primre_website", "location"]
     p = M._usual(Q.table(spark, d, "projects").select(Q.key_upper(F.col("project_id")).alias("k"), *[Q.present(F.col(c)).alias(c) for c in fields]), "k", fields).toPandas()
     r = M._usual(Q.table(spark, d, "primre_only_test_sites").select(F.col("primre_row_id").alias("k"), *[Q.present(F.col(c)).alias(c) for c in others]), "k", others).toPandas()
-    ps, rs = M._project_rows(p), M._record_rows(r)
+    ps, rs = M._variant_rows(p), M._record_rows(r)
     best = {}
     for y in rs:
         for x in ps:
@@ -86,6 +86,77 @@ def test_hot_keys_hide_nothing(spark):
     assert got == {(f"P{i:03}", r) for i in range(70) for r in [*(f"R{j:03}" for j in range(70)), "near"]}
 
 
+def test_window_does_not_depend_on_the_cuts(spark):
+    """Sixty keys in one order, all alike: the same pairs from one task and from twenty, most of which hold fewer keys than the window."""
+    import random
+
+    rnd = random.Random(2)
+    rows = [(f"1sovar teboga{a}{b}", "pr"[rnd.random() < 0.5], f"{a}{b}") for a in "abcdef" for b in "abcdefghij"]
+    df, got = spark.createDataFrame(rows, "key string, side string, id string"), {}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for n in ("1", "3", "20"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got[n] = {tuple(x) for x in M._neighbours(df, M.WINDOW).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    order = sorted(rows)
+    want = set()
+    for i, (_, side, one) in enumerate(order):
+        for _, _, two in [x for x in order[max(0, i - 4 * M.WINDOW) : i] if x[1] != side][-M.WINDOW :]:
+            want.add((one, two) if side == "p" else (two, one))
+    assert got["1"] == got["3"] == got["20"] == want
+
+
+def test_a_slip_in_the_first_letters_is_met(spark):
+    """Neighbours need not share their first letters."""
+    rs = [("R1", "Wave Farm, Tovar Tebogan", "France", "Wave", None, None)]
+    assert run(spark, P, rs) == [("P1", "R1")]
+
+
+def test_best_assignment_against_all():
+    import random
+
+    from docengine.llm.assignment import best_assignment
+
+    def most(edges, keys, used=frozenset()):
+        if not keys:
+            return 0.0
+        return max([most(edges, keys[1:], used), *(w + most(edges, keys[1:], used | {p}) for p, w in edges[keys[0]].items() if p not in used)])
+
+    rnd = random.Random(1)
+    for _ in range(400):
+        edges = {f"g{i}": {f"p{j}": rnd.choice([0.6, 0.7, 0.8, rnd.random() + 0.01]) for j in range(4) if rnd.random() < 0.6} for i in range(rnd.randint(0, 5))}
+        got = best_assignment(edges)
+        assert len(set(got.values())) == len(got)
+        assert abs(sum(edges[g][p] for g, p in got.items()) - most(edges, sorted(edges))) < 1e-9
+
+
+def test_records_are_assigned_one_to_one(spark):
+    """Records of one undertaking stay together; two undertakings that want one project are parted so that the total is largest."""
+    edges = [("p1", "a", 0.9), ("p1", "b", 0.8), ("p1", "c", 0.95), ("p2", "c", 0.9), ("p3", "d", 0.7), ("p1", "e", 0.94)]
+    records = [("a", "", "Wave", 1), ("b", "", "", 2), ("c", "France", "Wave", 1), ("d", "", "", 1), ("e", "Spain", "Tidal", 1)]
+    got = M.assign(spark.createDataFrame(edges, "project_id string, record string, confidence double"), spark.createDataFrame(records, "record string, country string, kind string, n bigint"))
+    # e contradicts c, the surest of p1: it has no other project; a and b go with c
+    assert sorted((r.project_id, r.record) for r in got.collect()) == [("p1", "a"), ("p1", "b"), ("p1", "c"), ("p3", "d")]
+    crowd = [("p", f"r{i:03}", 0.6 + i / 1000) for i in range(300)]
+    lands = [(f"r{i:03}", f"land {i}", "", 1) for i in range(300)]
+    got = M.assign(spark.createDataFrame(crowd, "project_id string, record string, confidence double"), spark.createDataFrame(lands, "record string, country string, kind string, n bigint"))
+    assert [(r.project_id, r.record) for r in got.collect()] == [("p", "r299")]
+    assert M.assign(got.limit(0), spark.createDataFrame([], "record string, country string, kind string, n bigint")).count() == 0
+
+
+def test_vectorised_likeness():
+    import random
+
+    import numpy as np
+    from docengine.llm.lcs import lcs_ratio, lcs_ratios
+
+    rnd = random.Random(3)
+    a, b = (["".join(rnd.choice("abcdé 火") for _ in range(rnd.choice([0, 1, 5, 12, 63, 64, 90]))) for _ in range(400)] for _ in range(2))
+    assert np.allclose(lcs_ratios(np.array(a), np.array(b), chunk=64), [lcs_ratio(x, y) for x, y in zip(a, b)])
+    assert len(lcs_ratios(np.array([], str), np.array([], str))) == 0
+
+
 def test_parts():
     assert place_of("Ramofor Kelodan Mk II deployment, Sovar Tebogan", "Kelodan Mk II", "Ramofor Energy", "", "") == ("sovar", "tebogan")
     assert place_of("Rilopen Hadestal Tidal Array Phase 1", "", "", "", "") == ("rilopen", "hadestal")
