@@ -141,8 +141,8 @@ def is_title(line: Column, before: Column, after: Column, typical: Column) -> Co
     prior = F.rtrim(F.coalesce(before, F.lit("")))
     return F.coalesce(
         (s != "") & (F.length(s) <= F.least(F.lit(70.0), typical * 0.7)) & (F.size(words) <= 10) & ~s.rlike(r"[.,;:-]$") & s.rlike(r'^[A-Z0-9"(]')
-        & ~s.rlike(uni(r"^(annual report|ocean energy systems|\d+)$", True)) & (caps / F.size(words) >= 0.5)
-        & ~s.rlike(uni(r"^(©|\(c\)|courtesy|photo|image|source|figure|fig\.|table)\b", True))
+        & ~s.rlike(uni(vocab.FURNITURE, True)) & (caps / F.size(words) >= 0.5)
+        & ~s.rlike(uni(vocab.CAPTIONS, True))
         & after.isNotNull() & (F.length(T.strip(after)) >= 25) & (before.isNull() | prior.rlike(r"[.!?:)]$") | (F.length(T.strip(before)) < 40)),
         F.lit(False),
     )

@@ -28,6 +28,7 @@ def drop_reason(term: Column, site_aliases: Column | None = None, countries: Col
     parts = F.filter(F.split(F.lower(only), "[-/]"), lambda x: x != "")
     plain = lambda x: F.array_contains(usual, x) | F.array_contains(generic, x) | (x.endswith("s") & F.array_contains(usual, F.regexp_replace(x, "s$", "")))
     ordinary = (F.forall(parts, plain) | F.lower(only).isin(*vocab.EXTRA_ORDINARY)) & ~only.rlike(r".[A-Z]|\d")
+    # The reasons as written.
     return (
         F.when((F.length(term) < 3) | (F.size(ws) == 0), "too short")
         .when(F.size(ws) > 6, "descriptive (long)")
