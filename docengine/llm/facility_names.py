@@ -5,25 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-# Codes of the kinds of facility, as acronyms end with them.
-KINDS = ("BTF", "BTS", "FL", "MTB", "NMEPG", "OETA", "TGP", "TSDZ", "TT", "TTS", "WETC", "WTS")
-# Phrases for a kind in other languages, without marks.
-PHRASES = {
-    "site d'essais houlomoteur": ("WTS", "WETC"), "centro de ensayos de olas": ("WTS", "WETC"), "site d'essais hydrolien": ("TTS", "TSDZ"), "zona de ensayos de mareas": ("TTS", "TSDZ"),
-    "zone d'essais en mer": ("OETA",), "area de ensayos marinos": ("OETA",), "centre national d'essais marins": ("NMEPG",), "centro nacional de ensayos marinos": ("NMEPG",),
-    "bassin de traction": ("TT",), "bassin d'essais marin": ("MTB",), "estacion de ensayo en dique": ("BTS",), "station d'essai sur digue": ("BTS",), "banco de ensayo de palas": ("BTF",),
-    "banc d'essai de pales": ("BTF",), "laboratoire de canal hydraulique": ("FL",), "laboratorio de canal": ("FL",), "planta de gradiente termico": ("TGP",), "centrale thermique des mers": ("TGP",), "canal de remolque": ("TT",), "tanque de ensayos marinos": ("MTB",),
-}
-# Words and abbreviations that speak for kinds.
-WORDS = {
-    "blade": "BTF", "facility": "BTF", "facil": "BTF", "fac": "BTF", "blattprufstand": "BTF", "breakwater": "BTS", "station": "BTS", "stn": "BTS", "sta": "BTS", "flume": "FL", "laboratory": "FL", "laboratry": "FL", "lab": "FL", "labs": "FL",
-    "stromungslabor": "FL", "basin": "MTB", "bsn": "MTB", "meeresversuchsbecken": "MTB", "marine": "MTB NMEPG", "marin": "MTB NMEPG", "mar": "MTB NMEPG", "national": "NMEPG", "natl": "NMEPG", "nat'l": "NMEPG", "nat": "NMEPG", "proving": "NMEPG", "ground": "NMEPG",
-    "ocean": "OETA", "oc": "OETA", "area": "OETA", "thermal": "TGP", "gradient": "TGP", "plant": "TGP", "plt": "TGP", "stream": "TSDZ", "demonstration": "TSDZ", "demo": "TSDZ", "dem": "TSDZ", "zone": "TSDZ", "zn": "TSDZ", "tidal": "TTS TSDZ", "tid": "TTS TSDZ",
-    "towing": "TT", "tank": "TT", "tk": "TT", "schlepptank": "TT", "wave": "WTS WETC", "centre": "WETC", "center": "WETC", "ctr": "WETC", "cen": "WETC", "energy": "WETC NMEPG OETA", "engy": "WETC NMEPG OETA", "en": "WETC NMEPG OETA",
-    "site": "TTS WTS", "ts": "TTS WTS", "testsite": "TTS WTS", "testingsite": "TTS WTS", "tstsite": "TTS WTS", "test": "", "testing": "", "tst": "",
-}
-# Words that are no part of a place's name.
-FILLERS = {"the", "old", "at", "of", "and", "de", "du", "des", "la", "le", "der", "in"}
+from .vocabulary import Vocabulary
 
 _NOISE = re.compile(r"\[[^\]]*\]|\s[–-]\s*open sea site\b|\*", re.I)
 _TOKEN = re.compile(r"[^\W\d_][\w'’.]*")
@@ -35,23 +17,23 @@ def folded(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c)).lower()
 
 
-def _acronym(token: str) -> tuple[str, str] | None:
+def _acronym(token: str, kinds: tuple[str, ...]) -> tuple[str, str] | None:
     """Initials of the place and the kind, if a token is an acronym of both."""
     up = token.upper()
-    for kind in sorted(KINDS, key=len, reverse=True):
+    for kind in sorted(kinds, key=len, reverse=True):
         if len(up) == len(kind) + 2 and up.endswith(kind):
             return up[:2].lower(), kind
     return None
 
 
-def parse(name: str) -> dict | None:
+def parse(name: str, vocabulary: Vocabulary) -> dict | None:
     """``tokens`` (the place's words, in order), ``initials``, ``kinds`` (a set; empty: not told), ``acronym``; None if no place is named.
 
     What follows a comma is a region if a place stands before it, the place itself if only a kind does.
     """
     text = " ".join(folded(_NOISE.sub(" ", name)).split())
     kinds: set[str] = set()
-    for phrase, codes in PHRASES.items():
+    for phrase, codes in vocabulary.phrases.items():
         if phrase in text:
             kinds, text = set(codes), text.replace(phrase, " ")
             break
@@ -63,15 +45,15 @@ def parse(name: str) -> dict | None:
         mine, single = [], []
         for raw in _TOKEN.findall(part.replace("-", " ").replace("/", " ")):
             t = raw.rstrip(".'")
-            if t in WORDS:
-                codes = WORDS[t].split()
+            codes = None if t in vocabulary.fillers else vocabulary.codes(t)
+            if codes is not None:
                 for c in codes:
                     votes[c] = votes.get(c, 0) + 1 / len(codes)
-            elif t in FILLERS:
+            elif t in vocabulary.fillers:
                 continue
             elif len(t) == 1:
                 single.append((t, len(mine)))
-            elif 4 <= len(t) <= 7 and (found := _acronym(t)) and (sum(c in "aeiou" for c in t) < 2 or raw.isupper() or found[1] in ("OETA",)):
+            elif 4 <= len(t) <= 7 and (found := _acronym(t, vocabulary.kinds)) and (sum(c in "aeiou" for c in t) < 2 or raw.isupper() or sum(c in "AEIOU" for c in found[1]) > 1):
                 acronym = found
             else:
                 mine.append(t.replace("'", ""))
@@ -87,5 +69,4 @@ def parse(name: str) -> dict | None:
     if not kinds and votes:
         top = max(votes.values())
         kinds = {k for k, v in votes.items() if v >= top - 1e-9}
-    tokens = tokens[:2] if len(tokens) >= 2 else tokens
     return {"tokens": tokens, "initials": [(c, p) for c, p in initials][:1], "kinds": kinds, "acronym": acronym[0] if acronym else ""}

@@ -10,6 +10,7 @@ from ..functions.missing import PLACEHOLDERS, is_missing, key_lower, key_upper,
 from ..operators import packed
 from ..session import spread
 from . import matching, mixing, names, quality, survivor, tokenize
+from .vocabulary import MARINE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +52,12 @@ def facility_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return names.pairs(names.link_names(facility_names(spark, sf_dir)))
+    return names.pairs(p5_groups(spark, sf_dir))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a record: the facility it names, that facility's first record and their number."""
+    return names.groups(names.link_names(facility_names(spark, sf_dir), MARINE))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +110,7 @@ def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
+    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
 
 
 _HOLES = ", ".join(f"'{p}'" for p in PLACEHOLDERS)
