@@ -1,6 +1,6 @@
-"""Hand-checked texts for calibration: kind and text."""
+"""Hand-checked texts, kind and text: half of each kind to learn from, half held out for calibration."""
 
-HOLDOUT = (
+TEXTS = (
     ("prose", "The turbine was lowered into the channel in May. Divers checked the cable the next day and found no damage."),
     ("prose", "OVERVIEW\nThe project was delayed because the permit had not been signed. Work on the quay will begin again in spring,\nwhen the weather allows the barge to leave the harbour."),
     ("prose", "A short season, but a good one: the machine ran for two hundred hours and the team learned how to service it at sea."),
@@ -35,3 +35,7 @@ HOLDOUT = (
     ("junk", "hTe cerw fo hte raBeg edkas rof a wen nohcar ta het nde fo eth asesno nad ti saw ton rayde"),
     ("junk", "asdf jkl; qwer asdf zxcv poiu lkj asdf ;lkj fdsa qwerqwer asdf jkl; zxcv asdf poiu qwe asd fgh jkl"),
 )
+
+_BY_KIND = [[x for x in TEXTS if x[0] == kind] for kind in dict.fromkeys(k for k, _ in TEXTS)]
+SEEDS = tuple(x for texts in _BY_KIND for x in texts[0::2])
+HOLDOUT = tuple(x for texts in _BY_KIND for x in texts[1::2])

@@ -81,6 +81,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode(spread(table(spark, sf_dir, "documents")), keep=["doc_id"])
 
 
+def p8_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document and where each token begins in the UTF-8 bytes of its text."""
+    return tokenize.encode(spread(table(spark, sf_dir, "documents")), keep=["doc_id"], offsets="offsets")
+
+
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = table(spark, sf_dir, "mix_targets")
     docs = spread(table(spark, sf_dir, "documents")).where("source is not null").join(F.broadcast(targets.select("source")), "source", "left_semi")
@@ -96,6 +101,26 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def overlapping(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents that stand for their source and for their language, and the target shares of both."""
+    of_source = table(spark, sf_dir, "mix_targets").where("source is not null").select("source", (F.col("target_share") * 0.6).alias("target_share"), "max_repeats")
+    langs = table(spark, sf_dir, "common_words").select("lang").distinct()
+    of_lang = langs.select(F.concat(F.lit("lang "), "lang").alias("source"), (F.lit(0.4) / langs.count()).alias("target_share"), F.lit(2).alias("max_repeats"))
+    docs = tokenize.count_tokens(spread(table(spark, sf_dir, "documents")), keep=["doc_id", "source", "lang"])
+    sized = docs.withColumn("memberships", F.array_compact(F.array("source", F.concat(F.lit("lang "), "lang"))))
+    return sized, of_source.unionByName(of_lang)
+
+
+def p9_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture where a document may stand for its source or for its language."""
+    return mixing.mix(*overlapping(spark, sf_dir))
+
+
+def p9_overlap_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, targets = overlapping(spark, sf_dir)
+    return mixing.shares(mixing.mix(docs, targets), targets)
+
+
 def qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = frozenset(r["word"] for r in table(spark, sf_dir, "common_words").select("word").distinct().collect())  # a fixed table
     return quality.classify(spread(table(spark, sf_dir, "documents")), words)
@@ -110,7 +135,7 @@ def p10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_quality": p10_quality}
+    return {"p1_found": p1_found, "p1_records": p1_records, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_overlap": p9_overlap, "p9_overlap_shares": p9_overlap_shares, "p10_found": p10_found, "p10_quality": p10_quality}
 
 
 _HOLES = ", ".join(f"'{p}'" for p in PLACEHOLDERS)
@@ -132,5 +157,10 @@ SELECT project_id, field, row_id FROM k WHERE i = 1
 """
 
 
+P1_RECORDS_SQL = P1_SQL.replace("SELECT project_id, field, row_id FROM k WHERE i = 1", """, w AS (SELECT project_id, field, row_id FROM k WHERE i = 1)
+SELECT project_id, max(CASE WHEN field = 'capacity_kw' THEN p.capacity_kw END) AS capacity_kw, max(CASE WHEN field = 'latest_status' THEN p.latest_status END) AS latest_status, max(CASE WHEN field = 'notes' THEN p.notes END) AS notes
+FROM w JOIN (SELECT row_id, capacity_kw, latest_status, notes FROM projects) p USING (row_id) GROUP BY 1""")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL}
+    return {"p1_found": P1_SQL, "p1_records": P1_RECORDS_SQL}

@@ -18,12 +18,14 @@ def survivors(df: DataFrame, key: str, row_id: str, trust: str, recency: str, us
 
     ``usable`` gives per field whether a row's value can be used; ``trust`` is an integer (higher is better, null lowest),
     ``recency`` is ordered (null is earliest). Groups with fewer than ``min_rows`` rows, null keys and fields no row has
-    are left out. Ties in trust and recency go to the smaller ``row_id``. Other columns are ignored, empty input is empty.
+    are left out; there are at most 62 fields. Ties in trust and recency go to the smaller ``row_id``. Other columns are ignored, empty input is empty.
     """
     fields = list(usable)
-    bits = sum((F.when(F.coalesce(c, F.lit(False)), 1 << i).otherwise(0) for i, c in enumerate(usable.values())), F.lit(0))
+    if len(fields) > 62:
+        raise ValueError("at most 62 fields: choose the others in a second call")
+    bits = sum((F.when(F.coalesce(c, F.lit(False)), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(usable.values())), F.lit(0).cast("bigint"))
     rows = df.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(row_id).alias("_row"), bits.cast("int").alias("_has"), F.coalesce(F.col(trust).cast("int"), F.lit(-1)).alias("_trust"),
+        F.col(key).alias("_key"), F.col(row_id).alias("_row"), bits.alias("_has"), F.coalesce(F.col(trust).cast("int"), F.lit(-1)).alias("_trust"),
         F.coalesce(F.unix_micros(F.col(recency).cast("timestamp")), F.lit(-(2**62))).alias("_at"),
     )
     best = rows.groupBy("_key", "_has", "_trust").agg(F.max(F.struct(F.col("_at"), (-F.col("_row")).alias("_neg"))).alias("m"), F.count("*").alias("_n"))
@@ -43,12 +45,12 @@ def survivors(df: DataFrame, key: str, row_id: str, trust: str, recency: str, us
         return F.struct(F.filter(rest, lambda b: F.exists(rest, lambda a: dominates(a, b))).alias("rest"), F.concat(state["done"], marked).alias("done"))
 
     layers = F.sequence(F.lit(1), F.size("_all"))
-    empty = F.array().cast("array<struct<layer:int,untrust:int,age:bigint,row:bigint,has:int>>")
+    empty = F.array().cast("array<struct<layer:int,untrust:int,age:bigint,row:bigint,has:bigint>>")
     peeled = F.aggregate(layers, F.struct(F.col("_all").alias("rest"), empty.alias("done")), lambda s, i: F.when(F.size(s["rest"]) > 0, peel(s, i)).otherwise(s))
     ranked = groups.select("_key", F.array_sort(peeled["done"]).alias("_done"))
 
     def first_with(i: int) -> Column:
-        return F.get(F.filter("_done", lambda r: r["has"].bitwiseAND(F.lit(1 << i)) != 0), F.lit(0))
+        return F.get(F.filter("_done", lambda r: r["has"].bitwiseAND(F.lit(1 << i).cast("bigint")) != 0), F.lit(0))
 
     chosen = F.array(*[F.struct(F.lit(f).alias("field"), first_with(i).alias("r")) for i, f in enumerate(fields)])
     out = ranked.select("_key", F.explode(chosen).alias("c")).where("c.r is not null")

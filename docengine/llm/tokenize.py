@@ -92,7 +92,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.cache: dict[str, tuple[int, ...]] = {}
-        self.classes = None
+        self.classes = self.widths = None
 
     @classmethod
     def load(cls, path: str = DEFAULT_PATH) -> Encoder:
@@ -182,17 +182,22 @@ class Encoder:
     def decoder(self) -> dict[int, bytes]:
         return {i: b for b, i in self.ranks.items()}
 
-    def offsets(self, ids: list[int]) -> list[int]:
-        """Where each token of a text begins in its UTF-8 bytes."""
-        sizes = self.decoder()
-        return np.cumsum([0, *(len(sizes[i]) for i in ids)])[:-1].tolist()
+    def offsets(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Where each token of ``encode``'s result begins in the UTF-8 bytes of its own text."""
+        if self.widths is None:
+            self.widths = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
+            self.widths[list(self.ranks.values())] = [len(b) for b in self.ranks]
+        width = self.widths[ids]
+        begin = np.cumsum(width) - width
+        first = np.cumsum(sizes) - sizes
+        return (begin - np.repeat(begin[first[sizes > 0]], sizes[sizes > 0])).astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
         table = self.decoder()
         return b"".join(table[i] for i in ids).decode("utf-8", "replace")
 
 
-def _batches(df: DataFrame, path: str, text: str, keep: list[str], out: str, schema, counts_only: bool) -> DataFrame:
+def _batches(df: DataFrame, path: str, text: str, keep: list[str], out: str, schema, counts_only: bool, offsets: str | None = None) -> DataFrame:
     kept = df.sparkSession.sparkContext.broadcast({"ranks": Encoder.load(path).ranks})  # a vocabulary: fixed size, under 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,24 +214,26 @@ def _batches(df: DataFrame, path: str, text: str, keep: list[str], out: str, sch
                     size += len(texts[hi])
                     hi += 1
                 ids, sizes = encoder.encode(texts[lo:hi])
+                more = []
                 if counts_only:
                     value = pa.array(sizes, pa.int64())
                 else:
                     value = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in cols], value], names=[*keep, out])
+                    more = [pa.ListArray.from_arrays(value.offsets, pa.array(encoder.offsets(ids, sizes), pa.int32()))] if offsets else []
+                yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in cols], value, *more], names=[*keep, out, *([offsets] if offsets else [])])
                 lo = hi
 
     return df.select(*keep, text).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str = DEFAULT_PATH, text: str = "text", keep: list[str] | None = None, out: str = "ids") -> DataFrame:
-    """``keep`` columns and ``out``, the ids of ``text``; null and empty texts have an empty list. No shuffle.
+def encode(df: DataFrame, path: str = DEFAULT_PATH, text: str = "text", keep: list[str] | None = None, out: str = "ids", offsets: str | None = None) -> DataFrame:
+    """``keep`` columns and ``out``, the ids of ``text``, and if asked ``offsets``, where each token begins in the text's UTF-8 bytes; null and empty texts have an empty list. No shuffle.
 
     By default all other columns are kept, but for one named ``out``, which is replaced; repeated rows stay. Strings that look
     like special tokens are ordinary text. ``path`` is the file of ranks, read on the driver only.
     """
-    keep = keep or [c for c in df.columns if c not in (text, out)]
-    return _batches(df, path, text, keep, out, df.select(*keep, F.array().cast("array<int>").alias(out)).schema, False)
+    keep = keep or [c for c in df.columns if c not in (text, out, offsets)]
+    return _batches(df, path, text, keep, out, df.select(*keep, *[F.array().cast("array<int>").alias(c) for c in (out, offsets) if c]).schema, False, offsets)
 
 
 def count_tokens(df: DataFrame, path: str = DEFAULT_PATH, text: str = "text", keep: list[str] | None = None, out: str = "n_tokens") -> DataFrame:

@@ -3,6 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import duckdb
+import pytest
 from docengine.llm import survivor
 from pyspark.sql import functions as F
 
@@ -79,3 +80,12 @@ def test_query_against_sql(spark, sf):
     want = sorted(duckdb.sql(P1_SQL).fetchall())
     assert sorted(p1_found(spark, sf).collect()) == want
     assert p1_records(spark, sf).count() == len({r[0] for r in want})
+
+
+def test_many_fields(spark):
+    wide = spark.range(2).select(F.lit("k").alias("k"), "id", F.lit(1).alias("trust"), F.lit(None).cast("timestamp_ntz").alias("at"), *[F.when(F.col("id") == i % 2, "x").alias(f"f{i}") for i in range(40)])
+    usable = {f"f{i}": F.col(f"f{i}").isNotNull() for i in range(40)}
+    got = {r.field: r.id for r in survivor.survivors(wide, "k", "id", "trust", "at", usable).collect()}
+    assert got == {f"f{i}": i % 2 for i in range(40)}
+    with pytest.raises(ValueError):
+        survivor.survivors(wide, "k", "id", "trust", "at", {f"g{i}": F.lit(True) for i in range(63)})

@@ -1,6 +1,7 @@
 import base64
 import random
 
+import numpy as np
 import pytest
 from docengine.llm import tokenize as T
 
@@ -53,7 +54,7 @@ def test_round_trip_and_offsets(both):
         ids = ids_of(own, [text])[0]
         assert own.decode(ids) == text
         raw, table = text.encode(), own.decoder()
-        assert all(raw[o : o + len(table[i])] == table[i] for i, o in zip(ids, own.offsets(ids)))
+        assert all(raw[o : o + len(table[i])] == table[i] for i, o in zip(ids, own.offsets(np.array(ids, np.int32), np.array([len(ids)]))))
 
 
 def test_table(spark, both):
@@ -71,3 +72,13 @@ def test_query(spark, sf, both):
 
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert {r.doc_id: r.ids for r in p8_ids(spark, sf).collect()} == {k: both[1].encode_ordinary(t) for k, t in texts.items()}
+
+
+def test_offsets_of_a_table(spark):
+    texts = ["wave é buoy", None, "", "火 \n\n x", "wave é buoy"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    table = T.Encoder.load().decoder()
+    for r in T.encode(df, keep=["doc_id", "text"], offsets="offsets").collect():
+        raw = (r.text or "").encode()
+        ends = [*r.offsets[1:], len(raw)] if r.offsets else []
+        assert [raw[a:b] for a, b in zip(r.offsets, ends)] == [table[i] for i in r.ids] and (r.ids == []) == (not r.text)
