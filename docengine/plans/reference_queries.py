@@ -10,6 +10,7 @@ from ..functions import text as T, vocab
 from ..functions.missing import is_missing, key_lower, key_upper, present, trimmed
 from ..operators import extract, facets, gazetteer, packed, resolve, spans, structure, summarize, terms
 from ..session import cut_lineage, spread
+from . import sample_reports
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,12 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents"))
 
 
+def docs_and_reports(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, and a few reports with country chapters under ids below zero, as the table itself has none."""
+    made = spark.createDataFrame([(-i, t) for i, t in sample_reports.TEXTS], "doc_id bigint, text string")
+    return docs(spark, d).select("doc_id", "text").unionByName(made)
+
+
 # --- text and structure
 
 
@@ -41,11 +48,11 @@ def section_carry_forward(spark, d):
 
 
 def document_chapters(spark, d):
-    return structure.chapters(structure.lines(docs(spark, d))).select(*big("doc_id", "start", "end"), "country", "author")
+    return structure.chapters(structure.lines(docs_and_reports(spark, d))).select(*big("doc_id", "start", "end"), "country", "author")
 
 
 def tagged_lines(spark, d):
-    rows = cut_lineage(structure.lines(docs(spark, d)))  # four consumers
+    rows = cut_lineage(structure.lines(docs_and_reports(spark, d)))  # four consumers
     tagged = structure.tag_headings(structure.tag_chapters(rows, structure.chapters(rows)))
     return structure.carry_sections(tagged)
 
@@ -54,6 +61,11 @@ def chapter_lines(spark, d):
     return tagged_lines(spark, d).groupBy("doc_id", "country").agg(F.count("*").alias("n_lines"), F.count_if(F.col("section") != "").alias("n_in_section"))
 
 
+def chapter_sections(spark, d):
+    """Lines in a section of a country's chapter; sections end where the chapter does."""
+    return tagged_lines(spark, d).where("country <> '' and section <> ''").select(*big("doc_id", "line_no"), "country", "section", F.coalesce("section_kind", F.lit("")).alias("section_kind"))
+
+
 def blocks_runs(spark, d):
     rows = structure.tag_headings(structure.lines(docs(spark, d)))
     b = structure.blocks(rows, F.length("line") > 40)
@@ -183,6 +195,10 @@ def _terms(spark, d) -> DataFrame:
     return gazetteer.project_terms(_projects(spark, d).where("project_id is not null and search_terms is not null"))
 
 
+def search_terms(spark, d):
+    return _terms(spark, d).select("project_id", "term", "is_weak")
+
+
 def project_mentions(spark, d):
     x = docs(spark, d).where("text is not null")
     t = _terms(spark, d)
@@ -423,8 +439,8 @@ def json_payload(spark, d):
 
 
 def queries() -> dict:
-    names = """doc_lines heading_tags section_carry_forward document_chapters chapter_lines blocks_runs line_stats_median joined_offsets hyphen_join document_entries project_rows clipped_text attr_capacities attr_labels attr_years
-    signal_scores named_entities place_phrases site_mentions mention_contexts mentioned_sites site_candidates candidate_phrases project_mentions mentioned_project_years term_hits fuzzy_match_tiers proposed_terms pruned_terms
+    names = """doc_lines heading_tags section_carry_forward document_chapters chapter_lines chapter_sections blocks_runs line_stats_median joined_offsets hyphen_join document_entries project_rows clipped_text attr_capacities attr_labels attr_years
+    signal_scores named_entities place_phrases site_mentions mention_contexts mentioned_sites site_candidates candidate_phrases search_terms project_mentions mentioned_project_years term_hits fuzzy_match_tiers proposed_terms pruned_terms
     site_summary project_years recall_check country_years filled_capacity filled_position year_ranges chapter_top1 owner_margin facet_counts top_k_list anti_link multi_ref_join prefer_then_first coordinates_parsed country_names
     name_aliases site_slugs chapter_counts names_with_sources shared_records numbered_records site_projects status_texts technology_codes map_filter capacity_split spiral_layout colour_years json_payload""".split()
     return {n: globals()[n] for n in names}

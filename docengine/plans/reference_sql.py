@@ -24,7 +24,7 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _clean() -> str:
+def _clean(source: str = "documents") -> str:
     """Lines of the documents, from the same fixed values as the operator."""
     t = "text"
     for a, b in text.LIGATURES.items():
@@ -42,7 +42,7 @@ def _clean() -> str:
     heads = r"(OVERVIEW|INTRODUCTION|SUPPORTING POLICIES( FOR OCEAN ENERGY)?|OCEAN ENERGY POLICY|NATIONAL STRATEGY|AUTHORS?|REPORT PREPARED BY)"
     trim = r"'^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'"
     return rf"""
-    raw AS (SELECT doc_id, unnest(string_split({t}, chr(10))) AS l, generate_subscripts(string_split({t}, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+    raw AS (SELECT doc_id, unnest(string_split({t}, chr(10))) AS l, generate_subscripts(string_split({t}, chr(10)), 1) AS i FROM {source} WHERE text IS NOT NULL),
     s1 AS (SELECT doc_id, i, regexp_replace(regexp_replace(l, '[ \t]+', ' ', 'g'), {trim}) AS l FROM raw),
     s2 AS (SELECT doc_id, i, regexp_replace(regexp_replace(regexp_replace(l, '^\d{{1,3}}([A-Z]{{3}})', '\1'), '^(20\d\d\s*)?ANNUAL REPORT([A-Z]{{3}})', '\2'), '^\d{{1,3}} 0\d COUNTRY REPORTS([A-Z]{{3}})', '\1') AS l FROM s1),
     s3 AS (SELECT doc_id, i, unnest(CASE WHEN regexp_matches(l, '(?i)^({upper})\s*{heads}\s*:?\s*$')
