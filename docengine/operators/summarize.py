@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 UNIT_KW = {"W": 0.001, "kW": 1.0, "MW": 1000.0, "GW": 1e6}
 
 
-def in_order(value: Column, order: Column, most: int | None = None) -> Column:
-    """Distinct values in the order of ``order``, as an aggregate."""
-    seen = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))), lambda x: x["v"]))
-    return seen if most is None else F.slice(seen, 1, most)
-
-
 def project_years(mentions: DataFrame) -> DataFrame:
     """Resolved mentions by project and year: count, terms, countries and sections in first-seen order, the first 20 lines, the best example.
 
@@ -21,18 +15,21 @@ def project_years(mentions: DataFrame) -> DataFrame:
     ``section_kind``, ``line``, ``resolution``, ``context``, ``source_file``. The example is of a sure term before others,
     of a section with a kind before others, then the first.
     """
+    keys = ["project_id", "report_year"]
+    m = mentions.where("project_id is not null")
     order = F.struct("doc_id", "a")
     sure, told = (F.col("resolution") != "unique term").cast("int"), F.col("section_kind").isNull().cast("int")
-    lines = F.slice(F.array_sort(F.collect_list(F.struct("doc_id", "a", "line"))), 1, 20)
-    return mentions.where("project_id is not null").groupBy("project_id", "report_year").agg(
-        F.count("*").alias("n_mentions"),
-        F.array_join(in_order(F.col("term"), order), "; ").alias("terms_matched"),
-        F.array_join(in_order(F.col("reporting_country"), order), "; ").alias("reporting_countries"),
-        F.array_join(in_order(F.nullif("section", F.lit("")), order), "; ").alias("sections"),
-        F.array_join(F.transform(lines, lambda x: x["line"].cast("string")), "; ").alias("lines"),
-        F.min_by("context", F.struct(sure.alias("s"), told.alias("t"), "doc_id", "a")).alias("example_context"),
-        F.min_by("source_file", order).alias("source_file"),
-    )
+    whole = m.groupBy(*keys).agg(F.count("*").alias("n_mentions"), F.min_by("context", F.struct(sure.alias("s"), told.alias("t"), "doc_id", "a")).alias("example_context"), F.min_by("source_file", order).alias("source_file"))
+    # each different value once, so that no group's mentions are collected
+    kinds = {"terms_matched": "term", "reporting_countries": "reporting_country", "sections": "section"}
+    each = m.select(*keys, order.alias("o"), F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("v")) for k, c in kinds.items()])).alias("x"))
+    seen = each.where("x.v is not null and (x.k <> 'sections' or x.v <> '')").groupBy(*keys, F.col("x.k").alias("k"), F.col("x.v").alias("v")).agg(F.min("o").alias("o"))
+    listed = lambda k: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("o", "v")))), lambda x: x["v"]), "; ")
+    values = seen.groupBy(*keys).agg(*[listed(k).alias(k) for k in kinds])
+    first = m.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id", "a"))).where("_r <= 20")
+    lines = first.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "line"))), lambda x: x["line"].cast("string")), "; ").alias("lines"))
+    out = whole.join(values, keys, "left").join(lines, keys)
+    return out.select(*keys, "n_mentions", *[F.coalesce(k, F.lit("")).alias(k) for k in kinds], "lines", "example_context", "source_file")
 
 
 def recall(found: DataFrame, verified: DataFrame) -> DataFrame:

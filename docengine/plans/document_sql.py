@@ -53,6 +53,29 @@ def _sections() -> str:
     sections AS (SELECT doc_id, line_no, line, country, kind IS NOT NULL AS is_heading, coalesce(c.h, '') AS section, CASE WHEN c.k = 'test sites' AND o.k IN ('demonstration', 'deployment', 'planned', 'R&D') THEN o.k ELSE c.k END AS section_kind FROM cy)"""
 
 
+def _entries() -> str:
+    kinds = "('demonstration', 'deployment', 'planned', 'R&D')"
+    trim = lambda c: rf"regexp_replace({c}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+    bullet = r"regexp_replace(line, '^[\s\p{Z}]*[•▪●►][\s\p{Z}]*', '')"
+    return rf"""{_sections()},
+    mo AS (SELECT *, max(coalesce(section_kind IN {kinds}, false)) OVER (PARTITION BY doc_id, country) AS ap, max(country <> '') OVER (PARTITION BY doc_id) AS ac FROM sections),
+    wa AS (SELECT *, CASE WHEN country <> '' THEN NOT ap OR coalesce(section_kind IN {kinds}, false) ELSE NOT ac END AND NOT is_heading AS inn FROM mo),
+    wb AS (SELECT *, CASE WHEN inn AND NOT coalesce(lag(inn) OVER (PARTITION BY doc_id ORDER BY line_no), false) THEN 1 ELSE 0 END AS f FROM wa),
+    bl AS (SELECT * FROM (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY line_no) AS block FROM wb) WHERE inn),
+    ne AS (SELECT *, lag(line) OVER w AS pv, lead(line) OVER w AS nx, {trim('line')} AS s, string_split_regex({trim('line')}, '[\s\p{{Z}}]+') AS ws, coalesce(median(CASE WHEN length(line) > 20 THEN length(line) END) OVER (PARTITION BY doc_id, block), 60) AS typ
+      FROM bl WINDOW w AS (PARTITION BY doc_id, block ORDER BY line_no)),
+    ti AS (SELECT *, coalesce(s <> '' AND length(s) <= least(70, typ * 0.7) AND len(ws) <= 10 AND right(s, 1) NOT IN ('.', ',', ';', ':', '-') AND regexp_matches(s, '^[A-Z0-9"(]') AND NOT regexp_matches(s, '(?i)^(annual report|ocean energy systems|\d+)$')
+        AND len(list_filter(ws, lambda w: regexp_matches(w, '^[A-Z0-9("]'))) / len(ws) >= 0.5 AND NOT regexp_matches(s, '(?i)^(©|\(c\)|(courtesy|photo|image|source|figure|table)($|[^\p{{L}}\p{{N}}_])|fig\.[\p{{L}}\p{{N}}_])') AND length({trim('nx')}) >= 25
+        AND (pv IS NULL OR right(rtrim(pv), 1) IN ('.', '!', '?', ':', ')') OR length({trim('pv')}) < 40), false) AS title FROM ne),
+    ke AS (SELECT *, lag(title) OVER (PARTITION BY doc_id, block ORDER BY line_no) AS pk FROM ti WHERE s NOT IN ('•', '', '-', '–', '▪', '●')),
+    st2 AS (SELECT *, title OR pk IS NULL OR (NOT pk AND regexp_matches(line, '^[\s\p{{Z}}]*[•▪●►]')) OR (NOT pk AND coalesce(right(rtrim(pv), 1) IN ('.', '!', '?') AND length(pv) < 0.75 * typ AND regexp_matches(line, '^[\s\p{{Z}}]*[A-Z0-9"]'), false)) AS beg FROM ke),
+    en AS (SELECT *, sum(beg::INT) OVER (PARTITION BY doc_id, block ORDER BY line_no) AS entry, {trim(bullet)} AS body FROM st2),
+    en2 AS (SELECT doc_id, block, entry, max(CASE WHEN title THEN s END) AS title, min(CASE WHEN NOT title THEN line_no END) AS a, max(CASE WHEN NOT title THEN line_no END) AS b, list(body ORDER BY line_no) FILTER (NOT title) AS l,
+        first(section ORDER BY line_no) AS section, first(nullif(section_kind, '') ORDER BY line_no) FILTER (nullif(section_kind, '') IS NOT NULL) AS section_kind, first(country ORDER BY line_no) AS country FROM en GROUP BY 1, 2, 3),
+    entries AS (SELECT doc_id, block::BIGINT AS block, entry::BIGINT AS entry, coalesce(title, '') AS title, (a + 1 - CASE WHEN title IS NULL THEN 0 ELSE 1 END)::INT AS line_start, (b + 1)::INT AS line_end,
+        list_reduce(l, lambda o, t: CASE WHEN ends_with(o, '-') AND regexp_matches(t, '^\p{{Ll}}') THEN o[1:-2] || t ELSE trim(o || ' ' || t) END) AS text, section, section_kind, country FROM en2 WHERE a IS NOT NULL)"""
+
+
 _WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -136,6 +159,7 @@ def oracle_sql() -> dict[str, str]:
         "document_chapters": f'WITH {_chapters()} SELECT doc_id, start::BIGINT AS start, "end"::BIGINT AS "end", country, author FROM chapters',
         "chapter_lines": f"WITH {_sections()} SELECT doc_id, country, count(*)::BIGINT AS n_lines, count(*) FILTER (section <> '')::BIGINT AS n_in_section FROM sections GROUP BY 1, 2",
         "chapter_sections": f"WITH {_sections()} SELECT doc_id, line_no, country, section, coalesce(section_kind, '') AS section_kind FROM sections WHERE country <> '' AND section <> ''",
+        "document_entries": f"WITH {_entries()} SELECT * FROM entries",
         "hyphen_join": rf"""WITH {_clean('documents')}, l AS (SELECT doc_id, list(regexp_replace(line, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') ORDER BY line_no) AS l FROM lines GROUP BY 1)
             SELECT doc_id, list_reduce(l, lambda o, t: CASE WHEN ends_with(o, '-') AND regexp_matches(t, '^\p{{Ll}}') THEN o[1:-2] || t ELSE o || ' ' || t END) AS text FROM l""",
         "site_mentions": f"{_mentions()} SELECT doc_id, a::INT AS a, b::INT AS b, term, site_id FROM mentions",

@@ -199,17 +199,25 @@ def search_terms(spark, d):
     return _terms(spark, d).select("project_id", "term", "is_weak")
 
 
-def project_mentions(spark, d):
-    x = docs(spark, d).where("text is not null")
+def _resolved(spark, d, x) -> DataFrame:
+    """The projects' terms found in texts ``x``, with the project each is decided for."""
     t = _terms(spark, d)
     of = _projects(spark, d).where("project_id is not null").groupBy("project_id").agg(F.max("country").alias("country"), F.max("reporting_country").alias("reporting_country"), F.max(key_lower(F.col("test_site_id"))).alias("site_id"))
     cues = of.join(sites(spark, d).select("site_id", F.explode("aliases").alias("cue")), "site_id").select("project_id", "cue")
     return gazetteer.resolve(gazetteer.project_mentions(x, t), x, t, of.drop("site_id"), cues)
 
 
+def project_mentions(spark, d):
+    return _resolved(spark, d, docs(spark, d).where("text is not null"))
+
+
 def mentioned_project_years(spark, d):
-    m = project_mentions(spark, d).join(docs(spark, d).select("doc_id", "report_year", F.coalesce("reporting_country", F.lit("")).alias("reporting_country"), "source_file", "text"), "doc_id")
-    m = m.withColumns({"section": F.lit(""), "section_kind": F.lit(None).cast("string"), "line": F.lit(1), "context": structure.context(F.col("text"), F.col("a"), F.col("b"))})
+    """Projects by year, from mentions in the cleaned lines, each with its line and section."""
+    tagged = cut_lineage(tagged_lines(spark, d))
+    own = docs(spark, d).select("doc_id", "report_year", F.coalesce("reporting_country", F.lit("")).alias("reporting_country"), "source_file")
+    whole = cut_lineage(structure.joined(tagged.select("doc_id", "line_no", "line")).join(own, "doc_id"))
+    m = _resolved(spark, d, whole).join(whole, "doc_id").withColumns({"line_no": structure.line_of(F.col("starts"), F.col("a")), "context": structure.context(F.col("text"), F.col("a"), F.col("b"))})
+    m = m.join(tagged.select("doc_id", "line_no", "section", "section_kind"), ["doc_id", "line_no"]).withColumn("line", F.col("line_no") + 1)
     return summarize.project_years(m)
 
 
@@ -336,7 +344,9 @@ def top_k_list(spark, d):
 
 
 def anti_link(spark, d):
-    cited = table(spark, d, "projects").select(F.explode(F.regexp_extract_all(F.upper(F.coalesce("pilot_project_id", F.lit(""))), F.lit(r"PIL\d+"), F.lit(0))).alias("project_id"))
+    """Pilot records that no checked or reviewed project cites."""
+    trusted = table(spark, d, "projects").where(F.lower(trimmed("review_status")).isin("checked", "reviewed"))
+    cited = trusted.select(F.explode(F.regexp_extract_all(F.upper(F.coalesce("pilot_project_id", F.lit(""))), F.lit(r"PIL\d+"), F.lit(0))).alias("project_id"))
     return table(spark, d, "pilot_projects").select(key_upper(F.col("project_id")).alias("project_id"), "canonical_name").join(cited, "project_id", "left_anti")
 
 

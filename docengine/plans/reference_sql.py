@@ -203,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'technology', technology, count(*) FILTER (a)::BIGINT, round(coalesce(sum(kw) FILTER (a), 0), 2) FROM f GROUP BY 2
             UNION ALL SELECT 'category', category, count(*) FILTER (a AND b)::BIGINT, round(coalesce(sum(kw) FILTER (a AND b), 0), 2) FROM f GROUP BY 2""",
         "top_k_list": "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 250",
-        "anti_link": f"SELECT upper({present('p.project_id')}) AS project_id, canonical_name FROM pilot_projects p WHERE upper({present('p.project_id')}) NOT IN (SELECT unnest({_IDS['PIL']}) FROM projects)",
+        "anti_link": f"SELECT upper({present('p.project_id')}) AS project_id, canonical_name FROM pilot_projects p WHERE upper({present('p.project_id')}) NOT IN (SELECT unnest({_IDS['PIL']}) FROM projects WHERE lower({strip('review_status')}) IN ('checked', 'reviewed'))",
         "multi_ref_join": f"""WITH c AS (SELECT row_id, unnest({_IDS['PIL']}) AS pid, generate_subscripts({_IDS['PIL']}, 1) AS i FROM projects)
             SELECT row_id, array_to_string(list(coalesce(canonical_name, '') ORDER BY i, canonical_name), ' | ') AS names FROM c JOIN pilot_projects p ON upper({present('p.project_id')}) = pid GROUP BY 1""",
         "prefer_then_first": f"""SELECT coalesce({present('reporting_country')}, '') AS country, coalesce({strip('report_year')}, '') AS year, count(*)::BIGINT AS n, first(evidence ORDER BY {missing('printed_page')}, obs_id, evidence) AS example

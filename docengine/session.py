@@ -15,6 +15,7 @@ def get_spark(app: str = "docengine", cores: str | int = "*", **conf: str) -> Sp
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a cut lineage goes when nothing refers to it
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

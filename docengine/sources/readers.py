@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import re
+import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -98,3 +101,41 @@ def word_list(spark: SparkSession, path: str | None) -> DataFrame:
 def year_of(name) -> object:
     """The first 20xx of a file's name, null if none."""
     return F.nullif(F.regexp_extract(name, r"(20\d\d)", 1), F.lit("")).try_cast("int")
+
+
+def xlsx_rows(content: bytes, sheet: str | None = None) -> list[list[str | None]]:
+    """Rows of text of a workbook's sheet, the first by default; cells left out are null."""
+    main, rel = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}", "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+    text = lambda node: "".join(t.text or "" for t in node.iter(f"{main}t"))
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = {s.get("name"): s.get(f"{rel}id") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet")}
+        if sheet is not None and sheet not in names:
+            raise ValueError(f"no sheet {sheet}")
+        target = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}[names[sheet] if sheet is not None else next(iter(names.values()))]
+        shared = [text(x) for x in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        rows = []
+        for row in ElementTree.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}")).iter(f"{main}row"):
+            cells: list[str | None] = []
+            for c in row.iter(f"{main}c"):
+                letters = re.match("[A-Z]+", c.get("r") or "")
+                at = sum((ord(x) - 64) * 26**i for i, x in enumerate(reversed(letters.group()))) - 1 if letters else len(cells)
+                cells += [None] * (at - len(cells))
+                value = c.find(f"{main}v")
+                kind = c.get("t")
+                cells.append(text(c) if kind == "inlineStr" else None if value is None else shared[int(value.text)] if kind == "s" else value.text)
+            rows.append(cells)
+        return rows
+
+
+def sheets(spark: SparkSession, path: str, columns: list[str], sheet: str | None = None) -> DataFrame:
+    """``columns`` of a sheet of each workbook under ``path``, as text, by the header in its first row; absent columns are null."""
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for content in pdf["content"]:
+                header, *rows = xlsx_rows(bytes(content), sheet) or [[]]
+                at = [header.index(c) if c in header else None for c in columns]
+                yield pd.DataFrame([[r[i] if i is not None and i < len(r) else None for i in at] for r in rows], columns=columns, dtype=object)
+
+    return files.mapInPandas(run, ", ".join(f"`{c}` string" for c in columns))
