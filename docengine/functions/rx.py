@@ -20,22 +20,11 @@ def phrase(text: str) -> str:
     return rf"(?<![\w-]){r'\s+'.join(quote(w) for w in text.split())}(?![\w-])"
 
 
-def alternation(texts: list[str]) -> str:
-    """One pattern for many phrases: leftmost match, the longest phrase first where several begin together."""
-    body = "|".join(r"\s+".join(quote(w) for w in t.split()) for t in sorted(texts, key=lambda t: (-len(t), t)))
-    return rf"(?<![\w-])(?:{body})(?![\w-])"
-
-
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches of a group, empty for null text."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.array().cast("array<string>"))
 
 
-def first_seen(values: Column) -> Column:
-    """Distinct values in the order they were first seen."""
-    return F.array_distinct(values)
-
-
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, computed once however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as T, vocab
 from ..functions.rx import spans as rx_spans, uni
+from ..session import cut_lineage
 from . import spans
 
 CONTEXT = 600
@@ -14,7 +15,7 @@ CONTEXT = 600
 def alias_index(sites: DataFrame) -> DataFrame:
     """``term``, ``owners`` (array of site_id, country in first-seen order): the aliases (array) of sites, shared ones once."""
     each = sites.select("site_id", F.coalesce("country", F.lit("")).alias("country"), F.explode("aliases").alias("term"))
-    return each.where("trim(term) <> ''").groupBy(F.trim("term").alias("term")).agg(F.array_sort(F.collect_set(F.struct("site_id", "country"))).alias("owners"))
+    return each.select("site_id", "country", spans.squeezed(F.col("term")).alias("term")).where("term <> ''").groupBy("term").agg(F.array_sort(F.collect_set(F.struct("site_id", "country"))).alias("owners"))
 
 
 def site_mentions(docs: DataFrame, index: DataFrame, land: str = "reporting_country") -> DataFrame:
@@ -50,22 +51,24 @@ def resolve(mentions: DataFrame, docs: DataFrame, terms: DataFrame, projects: Da
     known = once.join(owners, "term")
     sure = known.where("n = 1 and not weak").select("doc_id", "a", "b", "term", F.col("only").alias("project_id"), F.lit("unique term").alias("resolution"))
     unsure = known.where("n > 1 or weak").select("doc_id", "a", "b", "term", "n")
+    unsure = cut_lineage(unsure.withColumn("_m", F.xxhash64("doc_id", "a", "b", "term")))  # read for the cues and for those without one
     around = F.substr("text", F.greatest(F.col("a") - width, F.lit(0)) + 1, F.col("b") + width - F.greatest(F.col("a") - width, F.lit(0)))
-    texts = unsure.join(docs.select("doc_id", "text", F.coalesce(land, F.lit("")).alias("_land")), "doc_id").select("doc_id", "a", "b", "term", "n", "_land", around.alias("_ctx"))
+    texts = unsure.join(docs.select("doc_id", "text", F.coalesce(land, F.lit("")).alias("_land")), "doc_id").select("_m", "term", "_land", around.alias("text"))
     every = terms.select("project_id", F.col("term").alias("cue"))
-    every = (every if cues is None else every.unionByName(cues.select("project_id", "cue"))).where("cue <> ''").distinct()
-    per_project = every.groupBy("project_id").agg(F.array_sort(F.collect_set("cue")).alias("_cues")).join(projects.select("project_id", "country", "reporting_country"), "project_id", "left")
-    owned = texts.join(terms.select("term", "project_id"), "term").join(per_project, "project_id", "left")
-    guard = lambda c: F.concat(F.lit(r"(?U)(?<![\w-])\Q"), c, F.lit(r"\E(?![\w-])"))
-    hits = F.filter("_cues", lambda c: (c != F.col("term")) & F.contains("_ctx", c) & F.regexp_like(F.col("_ctx"), guard(c)))
-    owned = owned.withColumn("_hits", F.coalesce(hits, F.array().cast("array<string>")))
-    at_home = (F.size("_hits") > 0) & (F.col("_land") != "") & (F.coalesce(F.col("_land") == F.col("country"), F.lit(False)) | F.coalesce(F.col("_land") == F.col("reporting_country"), F.lit(False)))
-    scored = owned.withColumn("_score", F.size("_hits") + F.when(at_home, 0.5).otherwise(0.0))
+    every = (every if cues is None else every.unionByName(cues.select("project_id", "cue"))).select("project_id", spans.squeezed(F.col("cue")).alias("cue")).where("cue <> ''").distinct()
+    # a project that owns an unsure term: its other cues. Every surrounding is read once for all cues, whoever owns them
+    asked = terms.join(owners.where("n > 1 or weak").select("term"), "term").select("term", "project_id").join(every, "project_id").where("cue <> term")
+    told = spans.scan_any(texts.select("_m", "text"), asked.select(F.col("cue").alias("term")).distinct(), "all", "_m").select("_m", F.col("term").alias("cue")).distinct()
+    hits = told.join(texts.select("_m", "term", "_land"), "_m").join(asked, ["term", "cue"])
+    scored = hits.groupBy("_m", "_land", "project_id").agg(F.array_sort(F.collect_set("cue")).alias("_hits")).join(projects.select("project_id", "country", "reporting_country"), "project_id", "left")
+    at_home = (F.col("_land") != "") & (F.coalesce(F.col("_land") == F.col("country"), F.lit(False)) | F.coalesce(F.col("_land") == F.col("reporting_country"), F.lit(False)))
     label = F.array_join(F.when(at_home, F.concat("_hits", F.array(F.concat(F.lit("chapter "), "_land")))).otherwise(F.col("_hits")), ", ")
-    ranked = scored.groupBy("doc_id", "a", "b", "term", "n").agg(F.sort_array(F.collect_list(F.struct("_score", F.struct("project_id", label.alias("l")).alias("p"))), False).alias("s"))
-    best, second = F.get("s", F.lit(0)), F.coalesce(F.get("s", F.lit(1))["_score"], F.lit(0.0))
-    won = (best["_score"] >= 1) & (best["_score"] > second)
-    loose = ranked.select("doc_id", "a", "b", "term", F.when(won, best["p"]["project_id"]).alias("project_id"), F.when(won, F.concat(F.lit("context: "), best["p"]["l"])).when(F.col("n") > 1, "ambiguous").otherwise("weak term, no context").alias("resolution"))
+    scored = scored.select("_m", "project_id", (F.size("_hits") + F.when(at_home, 0.5).otherwise(0.0)).alias("_score"), label.alias("_label"))
+    two = scored.withColumn("_r", F.row_number().over(Window.partitionBy("_m").orderBy(F.desc("_score"), F.desc("project_id")))).where("_r <= 2")
+    best = two.groupBy("_m").agg(F.max(F.when(F.col("_r") == 1, F.struct("_score", "project_id", "_label"))).alias("_b"), F.max(F.when(F.col("_r") == 2, F.col("_score"))).alias("_second"))
+    won = F.coalesce(F.col("_b._score") > F.coalesce("_second", F.lit(0.0)), F.lit(False))
+    decided = F.when(won, F.concat(F.lit("context: "), "_b._label")).when(F.col("n") > 1, "ambiguous").otherwise("weak term, no context")
+    loose = unsure.join(best, "_m", "left").select("doc_id", "a", "b", "term", F.when(won, F.col("_b.project_id")).alias("project_id"), decided.alias("resolution"))
     return sure.unionByName(loose)
 
 

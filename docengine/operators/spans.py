@@ -25,6 +25,11 @@ _WORD = re.compile(r"(?<![\w-])(?:\w+|[^\w\s])")
 _BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+def squeezed(text: Column) -> Column:
+    """A phrase as the scans give it: runs of white space as one blank, none outside."""
+    return F.trim(F.regexp_replace(text, _BLANKS, " "))
+
+
 def _guarded(text: str, a: int, b: int) -> bool:
     return not (a > 0 and _EDGE.match(text[a - 1])) and not (b < len(text) and _EDGE.match(text[b]))
 
@@ -111,7 +116,7 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
 
     A word is a run of word characters or a single mark, told by Python on both sides. ``key`` is that of one text.
     """
-    split = phrases.select(F.trim(F.regexp_replace("term", _BLANKS, " ")).alias("term")).where("term <> ''").distinct()
+    split = phrases.select(squeezed(F.col("term")).alias("term")).where("term <> ''").distinct()
     settle = POLICIES[policy]
 
     def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,12 +175,6 @@ def scan_any(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key:
     return scan(texts, first, policy, key, text) if len(first) <= AUTOMATON_LIMIT else scan_table(texts, terms, policy, key, text)
 
 
-def claim_greedy(found: Column) -> Column:
-    """Of an array of (rank, a, b, ...) sorted by rank, those that overlap none claimed before."""
-    kind = F.slice(found, 1, 0)
-    return F.aggregate(found, kind, lambda acc, x: F.when(F.exists(acc, lambda y: (x["a"] < y["b"]) & (x["b"] > y["a"])), acc).otherwise(F.concat(acc, F.array(x))))
-
-
 def not_overlapping(found: DataFrame, claimed: DataFrame, key: str = "doc_id") -> DataFrame:
     """Spans of ``found`` that overlap none of ``claimed`` of the same document."""
     taken = claimed.groupBy(key).agg(F.collect_list(F.struct("a", "b")).alias("_t"))

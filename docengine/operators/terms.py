@@ -42,6 +42,21 @@ def drop_reason(term: Column, site_aliases: Column | None = None, countries: Col
     )
 
 
+def named_as_sites(rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``rows`` (``term``, ``reason``) with the reason of terms that are an alias (``alias``) of a test site, where none that counts before it has been found. A join, so any
+    number of aliases may be known."""
+    before = F.col("reason").startswith("too short") | F.col("reason").startswith("descriptive")
+    known = aliases.select(F.col("alias").alias("term"), F.lit(True).alias("_site")).distinct()
+    return rows.join(known, "term", "left").withColumn("reason", F.when(F.coalesce("_site", F.lit(False)) & ~before, "test-site name").otherwise(F.col("reason"))).drop("_site")
+
+
+def busy_places(rows: DataFrame, hits: DataFrame, is_place: Column, frequent: int = FREQUENT) -> DataFrame:
+    """``rows`` (``term``, ``reason``) with the reason of place names that occur more than ``frequent`` times, where there is no other."""
+    busy = rows.join(hits.select("term", F.col("n_hits").alias("_n")), "term", "left")
+    text = F.concat(F.lit("busy place name ("), F.col("_n").cast("string"), F.lit(" hits)"))
+    return busy.withColumn("reason", F.when((F.col("reason") == "") & is_place & (F.coalesce("_n", F.lit(0)) > frequent), text).otherwise(F.col("reason"))).drop("_n")
+
+
 def is_place_term(term: Column, place_words: Column) -> Column:
     """Whether every word is a known word of places, a generic word or a connector."""
     known = F.array_union(place_words, _list([*vocab.TERM_GENERIC, *vocab.CONNECTORS]))

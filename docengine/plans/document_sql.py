@@ -103,7 +103,7 @@ _SITES = rf"""
         WHEN regexp_matches(regexp_replace(v, '"(?:[^"]|"")*"', '', 'g'), '\s/\s') THEN string_split_regex(v, '\s/\s') ELSE regexp_extract_all(v, '\s*("(?:[^"]|"")*"\s*|[^,]+)(?:[,]|$)', 1) END AS items FROM sn WHERE v IS NOT NULL),
     sv AS (SELECT site_id, unnest([{strip('x')} FOR x IN items IF {strip('x')} <> '']) AS v FROM sl),
     sa AS (SELECT site_id, CASE WHEN regexp_matches(v, '^"(?:[^"]|"")*"$') THEN {strip("replace(v[2:-2], chr(34) || chr(34), chr(34))")} ELSE v END AS alias FROM sv),
-    aliases AS (SELECT DISTINCT site_id, country, term FROM (SELECT site_id, country, trim(name) AS term FROM sn WHERE name IS NOT NULL UNION ALL SELECT sn.site_id, sn.country, trim(alias) FROM sa JOIN sn USING (site_id) WHERE sn.name IS NOT NULL) WHERE term <> ''),
+    aliases AS (SELECT DISTINCT site_id, country, term FROM (SELECT site_id, country, trim(regexp_replace(name, '{_WS}+', ' ', 'g')) AS term FROM sn WHERE name IS NOT NULL UNION ALL SELECT sn.site_id, sn.country, trim(regexp_replace(alias, '{_WS}+', ' ', 'g')) FROM sa JOIN sn USING (site_id) WHERE sn.name IS NOT NULL) WHERE term <> ''),
     owners AS (SELECT term, list_sort(list({{'site_id': site_id, 'country': country}})) AS o FROM aliases GROUP BY 1)"""
 
 _CLAIMED = """
@@ -141,9 +141,9 @@ def _resolved() -> str:
     return rf"""WITH RECURSIVE {_FLAT}, {_SITES}, {_TERMS}, {_found('pterms')}, {lm},
     ow AS (SELECT term, count(DISTINCT project_id) AS n, bool_or(weak) AS weak, min(project_id) AS only_one FROM pterms GROUP BY 1),
     po AS (SELECT upper({present('project_id')}) AS project_id, max({present('country')}) AS country, max({present('reporting_country')}) AS rc, max(lower({present('test_site_id')})) AS site_id FROM projects GROUP BY 1),
-    cu AS (SELECT project_id, term AS cue FROM pterms UNION SELECT po.project_id, a.cue FROM po JOIN (SELECT site_id, trim(name) AS cue FROM sn WHERE name IS NOT NULL UNION SELECT sa.site_id, alias FROM sa JOIN sn USING (site_id) WHERE sn.name IS NOT NULL) a USING (site_id) WHERE a.cue <> ''),
-    un AS (SELECT pm.*, n, coalesce(d.reporting_country, '') AS land, substr(d.text, greatest(a - 600, 0) + 1, b + 600 - greatest(a - 600, 0)) AS ctx FROM pm JOIN ow USING (term) JOIN documents d USING (doc_id) WHERE n > 1 OR weak),
-    uo AS (SELECT un.*, t.project_id FROM un JOIN pterms t USING (term)),
+    cu AS (SELECT project_id, term AS cue FROM pterms UNION SELECT po.project_id, trim(regexp_replace(a.cue, '{_WS}+', ' ', 'g')) FROM po JOIN (SELECT site_id, trim(name) AS cue FROM sn WHERE name IS NOT NULL UNION SELECT sa.site_id, alias FROM sa JOIN sn USING (site_id) WHERE sn.name IS NOT NULL) a USING (site_id) WHERE a.cue <> ''),
+    un AS (SELECT pm.*, n, coalesce(d.reporting_country, '') AS land, substr(d.text, greatest(a - 600, 0) + 1, b + 600 - greatest(a - 600, 0)) AS ctx0 FROM pm JOIN ow USING (term) JOIN documents d USING (doc_id) WHERE n > 1 OR weak),
+    uo AS (SELECT un.*, regexp_replace(ctx0, '{_WS}+', ' ', 'g') AS ctx, t.project_id FROM un JOIN pterms t USING (term)),
     ch AS (SELECT uo.doc_id, uo.a, uo.b, uo.term, uo.project_id, cue FROM uo JOIN cu ON cu.project_id = uo.project_id AND cu.cue <> uo.term AND contains(ctx, cue)
       WHERE len(list_filter(range(1, len(string_split(ctx, cue))), lambda j: NOT regexp_matches(right(string_split(ctx, cue)[j], 1), '[\p{{L}}\p{{M}}\p{{N}}_-]') AND NOT regexp_matches(left(string_split(ctx, cue)[j + 1], 1), '[\p{{L}}\p{{M}}\p{{N}}_-]'))) > 0),
     hs AS (SELECT uo.doc_id, uo.a, uo.b, uo.term, uo.n, uo.project_id, land, list_sort(list(DISTINCT cue) FILTER (cue IS NOT NULL)) AS h, any_value(po.country) AS country, any_value(po.rc) AS rc

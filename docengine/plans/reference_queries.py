@@ -232,18 +232,22 @@ def fuzzy_match_tiers(spark, d):
 
 
 def proposed_terms(spark, d):
+    """Terms proposed for each project, and why one is none: site names and ordinary words are those of the tables."""
     p = _projects(spark, d).where("project_id is not null")
     one = p.groupBy("project_id").agg(*[F.max(c).alias(c) for c in ("name", "aliases", "device")])
     got = terms.proposed(one, {"name": F.array("name"), "aliases": F.split(F.coalesce("aliases", F.lit("")), r" \| "), "device": F.array("device")})
     lands = F.array(*[F.lit(c) for c in sorted(set(vocab.COUNTRIES.values()))])
-    return got.withColumn("reason", terms.drop_reason(F.col("term"), countries=lands))
+    ordinary = F.array(*[F.lit(r["word"]) for r in table(spark, d, "common_words").select("word").distinct().orderBy("word").collect()])  # a fixed table
+    told = got.withColumn("reason", terms.drop_reason(F.col("term"), countries=lands, common=ordinary))
+    return terms.named_as_sites(told, sites(spark, d).select(F.explode("aliases").alias("alias"))).select("project_id", "term", "field", "reason")
 
 
 def pruned_terms(spark, d):
-    got = proposed_terms(spark, d).where("reason = ''")
-    hits = gazetteer.term_hits(docs(spark, d).where("text is not null"), got.select("term").distinct())
+    got = cut_lineage(proposed_terms(spark, d).where("reason = ''"))
+    hits = cut_lineage(gazetteer.term_hits(docs(spark, d).where("text is not null"), got.select("term").distinct()))
     places = F.array(*[F.lit(w) for w in sorted({w.lower() for r in vocab.REGIONS for w in r.split()})])
-    return terms.prune(terms.flags(got, hits, terms.is_place_term(F.col("term"), places))).select("project_id", F.array_join("terms", " | ").alias("terms"))
+    kept = terms.busy_places(got, hits, terms.is_place_term(F.col("term"), places)).where("reason = ''").drop("reason")
+    return terms.prune(terms.flags(kept, hits, terms.is_place_term(F.col("term"), places))).select("project_id", F.array_join("terms", " | ").alias("terms"))
 
 
 # --- register roll-ups

@@ -131,3 +131,50 @@ def test_corrections(spark):
     d = spark.createDataFrame([("a", "x", "1"), ("b", "y", None)], "k string, v string, w string")
     c = spark.createDataFrame([("b", None, "9", "z"), ("q", "n", "n", "n")], "k string, v string, w string, extra string")
     assert sorted(map(tuple, S.overridden(d, c, "k").collect())) == [("a", "x", "1"), ("b", "y", "9")]
+
+
+def test_alike_names_lose_no_pair(spark):
+    """The filter of the third tier against all pairs of random names: what reaches the ratio is compared."""
+    import random
+    from difflib import SequenceMatcher
+
+    from docengine.operators import resolve
+
+    rnd = random.Random(3)
+
+    def slips(w):
+        w = list(w)
+        for _ in range(rnd.randint(0, 3)):
+            i = rnd.randrange(len(w))
+            w[i : i + 1] = rnd.choice([[], [w[i], rnd.choice("abcd")], [rnd.choice("abcd")]]) if len(w) > 4 else [w[i]]
+        return "".join(w)
+
+    base = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(5, 24))).strip() for _ in range(120)] + ["bcdefghijk", "abcdefghijkl", "abcde", "abde"]
+    names, cores = sorted({x for x in base if len(x) >= 5}), sorted({slips(b) for b in base if b} | {b for b in base if b})
+    n = spark.createDataFrame([(x, "", x) for x in names], "name_id string, land string, c string")
+    c = spark.createDataFrame([(x, "", x) for x in cores], "site_id string, s_land string, sc string")
+    got = {(r.c, r.sc) for r in resolve._share_grams(n, c).collect()}
+    want = {(a, b) for a in names for b in cores if SequenceMatcher(None, a, b).ratio() >= resolve.RATIO}
+    assert want - got == set() and ("bcdefghijk", "abcdefghijkl") in got and len(got) < len(names) * len(cores) / 2
+
+
+def test_site_names_and_busy_places(spark):
+    from docengine.operators import terms
+
+    rows = spark.createDataFrame([("p", "Sea Lab", ""), ("p", "Foo", "ordinary word"), ("p", "of sea Lab", "descriptive (lower-case words)"), ("p", "Maine", ""), ("p", "Fair Head", "")], "project_id string, term string, reason string")
+    got = terms.named_as_sites(rows, spark.createDataFrame([("Sea Lab",), ("Foo",), ("of sea Lab",)], "alias string"))
+    hits = spark.createDataFrame([("Maine", 61), ("Fair Head", 99), ("Sea Lab", 99)], "term string, n_hits bigint")
+    out = {r.term: r.reason for r in terms.busy_places(got, hits, F.col("term") == "Maine").collect()}
+    assert out == {"Sea Lab": "test-site name", "Foo": "test-site name", "of sea Lab": "descriptive (lower-case words)", "Maine": "busy place name (61 hits)", "Fair Head": ""}
+
+
+def test_workbooks_by_country(spark):
+    from docengine.sources import readers, sinks
+
+    df = spark.createDataFrame([("b", "France", "é <&"), ("a", "France", None), ("c", None, "x")], "id string, country string, note string")
+    got = {r.country: readers.xlsx_rows(bytes(r.content)) for r in sinks.country_workbooks(df, order=["id"]).collect()}
+    assert got == {"France": [["id", "country", "note"], ["a", "France", ""], ["b", "France", "é <&"]], "": [["id", "country", "note"], ["c", "", "x"]]}
+    with pytest.raises(ValueError):
+        sinks.country_workbooks(df, most_rows=1)
+    with pytest.raises(ValueError):
+        sinks.json_payload(df, ["id"], most_rows=2)

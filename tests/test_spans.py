@@ -57,9 +57,19 @@ def test_large_dictionary_knows_marks_accents_and_blanks(spark):
     assert {t for _, _, _, t in got} == {" ".join(w.split()) for w in words}
 
 
-def test_greedy_claim_is_no_anti_join(spark):
-    df = spark.createDataFrame([([(1, 0, 10), (2, 5, 12), (3, 11, 15)],)], "f array<struct<rank:int,a:int,b:int>>")
-    assert [x.rank for x in df.select(spans.claim_greedy(F.col("f")).alias("x")).first().x] == [1, 3]
+def test_large_and_small_dictionaries_agree_on_anything(spark):
+    """Random phrases and texts of letters with and without accents, marks and blanks of all kinds."""
+    rnd, marks = random.Random(21), ["a", "b", "é", "Ö", "e\u0301", "_", "-", "(", ")", "&", "#", "'", ".", " ", "  ", "\t", "\n", "\xa0", "\x1f", "1", "火", "🙂"]
+    word = lambda n: "".join(rnd.choice(marks) for _ in range(rnd.randint(1, n)))
+    words = sorted({word(4) for _ in range(150)})
+    texts = [word(40) for _ in range(150)] + ["".join(rnd.choice(words) + rnd.choice([" ", "", "\n", ", "]) for _ in range(12)) for _ in range(100)]
+    d, table = docs(spark, *texts), spark.createDataFrame([(w,) for w in words], "term string")
+    for policy in ("longest", "leftmost", "all"):
+        assert pairs(spans.scan_table(d, table, policy)) == pairs(spans.scan(d, words, policy))
+
+
+def test_cues_may_run_over_lines(spark):
+    assert resolved(spark, "Shared device near Sea\n  Wolf.")[1][1:] == ("P1", "context: Sea Wolf")
 
 
 def test_shared_alias_goes_home(spark):
