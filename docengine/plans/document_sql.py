@@ -156,7 +156,7 @@ def _resolved() -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "document_chapters": f'WITH {_chapters()} SELECT doc_id, start::BIGINT AS start, "end"::BIGINT AS "end", country, author FROM chapters',
+        "document_chapters": f'WITH {_chapters()} SELECT doc_id, start::BIGINT AS first_line, "end"::BIGINT AS end_line, country, author FROM chapters',
         "chapter_lines": f"WITH {_sections()} SELECT doc_id, country, count(*)::BIGINT AS n_lines, count(*) FILTER (section <> '')::BIGINT AS n_in_section FROM sections GROUP BY 1, 2",
         "chapter_sections": f"WITH {_sections()} SELECT doc_id, line_no, country, section, coalesce(section_kind, '') AS section_kind FROM sections WHERE country <> '' AND section <> ''",
         "document_entries": f"WITH {_entries()} SELECT * FROM entries",

@@ -48,7 +48,8 @@ def section_carry_forward(spark, d):
 
 
 def document_chapters(spark, d):
-    return structure.chapters(structure.lines(docs_and_reports(spark, d))).select(*big("doc_id", "start", "end"), "country", "author")
+    found = structure.chapters(structure.lines(docs_and_reports(spark, d)))
+    return found.select(*big("doc_id"), F.col("start").cast("bigint").alias("first_line"), F.col("end").cast("bigint").alias("end_line"), "country", "author")
 
 
 def tagged_lines(spark, d):
