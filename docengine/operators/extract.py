@@ -176,7 +176,7 @@ def describe(df: DataFrame, text: str = "text", title: str = "title") -> DataFra
 def emit(entries: DataFrame, site_lines: DataFrame | None = None) -> DataFrame:
     """Project rows of entries: texts of 40 characters or more that tell enough, by the mode of their chapter.
 
-    Chapters with a project section give only the entries of such sections (score 1 or more); others every entry with a
+    Chapters with a project section give only the entries of such sections (score 1 or more); other chapters, and texts without any, every entry with a
     score of 2, a verb of deployment and a capacity or a site. ``site_lines``: ``doc_id``, ``line_no`` of site mentions.
     """
     if site_lines is None:
@@ -185,7 +185,7 @@ def emit(entries: DataFrame, site_lines: DataFrame | None = None) -> DataFrame:
         per_doc = site_lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("_sites"))
         e = entries.join(per_doc, "doc_id", "left").withColumn("has_site", F.coalesce(F.exists("_sites", lambda n: (n + 1 >= F.col("line_start")) & (n + 1 <= F.col("line_end"))), F.lit(False))).drop("_sites")
     e = e.where(F.length("text") >= 40).withColumn("signal_score", signal_score(F.col("text"), F.col("has_site")))
-    in_project = F.col("section_kind").isin(*vocab.PROJECT_KINDS)
+    in_project = F.col("section_kind").isin(*vocab.PROJECT_KINDS) & (F.col("country") != "")
     strong = (F.col("signal_score") >= 2) & has(F.col("text"), vocab.DEPLOY_VERB) & (has(F.col("text"), vocab.CAPACITY, False) | F.col("has_site"))
     e = e.withColumn("method", F.when(F.coalesce(in_project, F.lit(False)), "project section").otherwise("keyword scan"))
     return e.where(F.when(F.col("method") == "project section", F.col("signal_score") >= 1).otherwise(strong))

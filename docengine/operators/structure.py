@@ -117,13 +117,14 @@ def carry_sections(rows: DataFrame, project_kinds: tuple = vocab.PROJECT_KINDS)
 
 
 def blocks(rows: DataFrame, wanted: Column) -> DataFrame:
-    """Adds ``block``: numbers of the contiguous runs of ``wanted`` lines, cut at headings, which belong to none.
+    """Adds ``block``: numbers of the contiguous runs of ``wanted`` lines, cut at headings, which belong to none, and where a chapter (``country``) ends.
 
     Only lines of blocks are returned.
     """
     inside = F.coalesce(wanted, F.lit(False)) & ~F.col("is_heading")
     marked = rows.withColumn("_in", inside)
-    starts = (F.col("_in") & ~F.coalesce(F.lag("_in").over(_doc()), F.lit(False))).cast("int")
+    turn = F.coalesce(F.col("country") != F.lag("country").over(_doc()), F.lit(False)) if "country" in rows.columns else F.lit(False)
+    starts = (F.col("_in") & (turn | ~F.coalesce(F.lag("_in").over(_doc()), F.lit(False)))).cast("int")
     return marked.withColumn("block", F.sum(starts).over(_doc())).where("_in").drop("_in")
 
 

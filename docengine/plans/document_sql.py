@@ -60,7 +60,7 @@ def _entries() -> str:
     return rf"""{_sections()},
     mo AS (SELECT *, max(coalesce(section_kind IN {kinds}, false)) OVER (PARTITION BY doc_id, country) AS ap, max(country <> '') OVER (PARTITION BY doc_id) AS ac FROM sections),
     wa AS (SELECT *, CASE WHEN country <> '' THEN NOT ap OR coalesce(section_kind IN {kinds}, false) ELSE NOT ac END AND NOT is_heading AS inn FROM mo),
-    wb AS (SELECT *, CASE WHEN inn AND NOT coalesce(lag(inn) OVER (PARTITION BY doc_id ORDER BY line_no), false) THEN 1 ELSE 0 END AS f FROM wa),
+    wb AS (SELECT *, CASE WHEN inn AND (NOT coalesce(lag(inn) OVER (PARTITION BY doc_id ORDER BY line_no), false) OR country <> lag(country) OVER (PARTITION BY doc_id ORDER BY line_no)) THEN 1 ELSE 0 END AS f FROM wa),
     bl AS (SELECT * FROM (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY line_no) AS block FROM wb) WHERE inn),
     ne AS (SELECT *, lag(line) OVER w AS pv, lead(line) OVER w AS nx, {trim('line')} AS s, string_split_regex({trim('line')}, '[\s\p{{Z}}]+') AS ws, coalesce(median(CASE WHEN length(line) > 20 THEN length(line) END) OVER (PARTITION BY doc_id, block), 60) AS typ
       FROM bl WINDOW w AS (PARTITION BY doc_id, block ORDER BY line_no)),

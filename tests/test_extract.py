@@ -96,4 +96,12 @@ def test_project_rows_know_sites_and_their_places(spark, tmp_path):
     spark.createDataFrame([(1, text), (2, "The device was installed and tested in a tank for a very long time."), (3, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([("s1", "Sea Lab", "France", None, "Foo Bar, France")], "site_id string, name string, country string, aliases string, location string").write.parquet(f"{tmp_path}/test_sites.parquet")
     got = R.project_rows(spark, str(tmp_path)).collect()
-    assert [(r.doc_id, r.signal_score, r.places) for r in got] == [(1, 3, "Foo Bar")]
+    assert [(r.doc_id, r.signal_score, r.places) for r in got if r.doc_id > 0] == [(1, 3, "Foo Bar")]
+    # the made reports: entries end where a chapter does; without a chapter the whole text is scanned for keywords
+    made = sorted((r.doc_id, r.line_start, r.line_end, r.title, r.capacities, r.signal_score, r.method) for r in got if r.doc_id < 0)
+    first, second = ("Blue Head Array", "500 kW", 3), ("", "20 kW; 1.2 MW", 3)
+    entry = lambda doc, a, b, what, method="project section": (doc, a, b, *what, method)
+    assert made == [
+        entry(-3, 5, 6, first, "keyword scan"), entry(-3, 7, 8, second, "keyword scan"), entry(-2, 16, 17, first), entry(-2, 18, 19, second),
+        entry(-1, 29, 30, first), entry(-1, 31, 32, second), entry(-1, 34, 34, ("", "", 1)), entry(-1, 52, 52, ("", "500 kW", 3)), entry(-1, 53, 54, second),
+    ]
