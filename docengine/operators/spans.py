@@ -1,7 +1,7 @@
 """Dictionary scans: every phrase of a dictionary found in every text, with offsets.
 
-A dictionary of at most ``AUTOMATON_LIMIT`` phrases is an automaton that travels to the tasks; a larger one is joined by the
-first word of its phrases, so neither the driver nor a task ever holds it whole.
+A dictionary of at most ``AUTOMATON_LIMIT`` phrases is an automaton that travels to the tasks; of a larger one only a table of bits
+travels, and spans that it lets through are joined with the phrases, so neither the driver nor a task ever holds it whole.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut_lineage
 
 AUTOMATON_LIMIT = 50_000
-WORD_BUCKETS = 1 << 20
+# bits (as powers of 2) of the tables that tell the spans worth a join: 64 a phrase within these bounds
+LEAST_BITS, MOST_BITS = 20, 26
 SPAN = "array<struct<a:int,b:int,term:string>>"
 _EDGE = re.compile(r"[\w-]")
-_WORD = re.compile(r"(?<![\w-])(?:\w+|[^\w\s])")
+_START = re.compile(r"(?<![\w-])[^ ]")
+_END = re.compile(r"[^ ](?![\w-])")
 # what Python takes for white space, for Spark's regular expressions
 _BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
@@ -34,10 +36,6 @@ def _guarded(text: str, a: int, b: int) -> bool:
     return not (a > 0 and _EDGE.match(text[a - 1])) and not (b < len(text) and _EDGE.match(text[b]))
 
 
-def _bucket(word: str) -> int:
-    return zlib.crc32(word.encode()) % WORD_BUCKETS
-
-
 def _squeezed(text: str) -> tuple[str, list[int]]:
     """The text with runs of white space as one blank, and the place of each character in the text."""
     out, places, blank = [], [], False
@@ -111,61 +109,97 @@ def scan(texts: DataFrame, phrases: list[str], policy: str = "longest", key: str
     return texts.select(key, text).mapInPandas(run, schema)
 
 
+def _starts(text: str) -> list[int]:
+    """Where a phrase may begin in a squeezed text: a mark or letter with no word character or hyphen before it."""
+    return [m.start() for m in _START.finditer(text)]
+
+
+def _ends(text: str) -> list[int]:
+    """Where a phrase may end in a squeezed text: behind a mark or letter with no word character or hyphen after it."""
+    return [m.end() for m in _END.finditer(text)]
+
+
+def _prefixes(term: str) -> Iterator[tuple[int, int]]:
+    """The places in ``term`` where a phrase may end, the last is its own end, and a running checksum of what lies before each."""
+    at, told = 0, 0
+    for e in _ends(term):
+        told, at = zlib.crc32(term[at:e].encode("utf-8", "surrogatepass"), told), e
+        yield e, told
+
+
 def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """As ``scan``, for a dictionary of any size in ``phrases`` (``term``): phrases meet words by an equi-join on the first word.
+    """As ``scan``, for a dictionary of any size in ``phrases`` (``term``): a text tells the spans that may be phrases, an equi-join on the span which are.
 
-    A word is a run of word characters or a single mark, told by Python on both sides. ``key`` is that of one text.
+    From each place where a phrase may begin a text is read on as long as the checksum of what was read is in a table of bits that all
+    phrases' beginnings set; spans whose checksum a whole phrase set are put out. Checksums lose no phrase, and the few spans that
+    only look like one meet none in the join. Neither texts nor the words of phrases not found are moved. ``key`` is that of one text.
     """
-    split = phrases.select(squeezed(F.col("term")).alias("term")).where("term <> ''").distinct()
+    split = cut_lineage(phrases.select(squeezed(F.col("term")).alias("term")).where("term <> ''").distinct())  # counted, told in bits and joined
     settle = POLICIES[policy]
+    many = split.count()
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (64 * many).bit_length()))
 
-    def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pdf.assign(word=[_WORD.match(t).group() for t in pdf["term"]])
-
-    def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a bit of each kind by number, packed, once a task: few bytes, however many phrases begin alike
+        begun, whole = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
         for pdf in frames:
-            yield pd.DataFrame({"b": [_bucket(w) for w in pdf["word"]]})
-
-    first = split.mapInPandas(heads, "term string, word string")
-    # words in no bucket of a first word begin no phrase and are not moved; the bits' number does not grow with the dictionary
-    bits = np.zeros(WORD_BUCKETS, dtype=bool)
-    bits[first.mapInPandas(buckets, "b int").distinct().toPandas()["b"].to_numpy(dtype=int)] = True
-    kept = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+            for t in pdf["term"]:
+                last = None
+                for _, told in _prefixes(t):
+                    last = told & (size - 1)
+                    begun[last] = True
+                if last is not None:
+                    whole[last] = True
+        for kind, table in enumerate((begun, whole)):
+            yield pd.DataFrame({"kind": [kind], "bits": [zlib.compress(np.packbits(table).tobytes(), 1)]})
+
+    tables = [np.zeros(size // 8, dtype=np.uint8), np.zeros(size // 8, dtype=np.uint8)]
+    for r in split.coalesce(16).mapInPandas(bits, "kind int, bits binary").toLocalIterator():
+        tables[r["kind"]] |= np.frombuffer(zlib.decompress(r["bits"]), dtype=np.uint8)
+    kept = texts.sparkSession.sparkContext.broadcast([t.tobytes() for t in tables])  # MOST_BITS bounds it
+    out_schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit("").alias("term")).schema
 
-    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        may, known = np.unpackbits(kept.value), {}
+    def seen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begun, whole = kept.value
+        crc, mask = zlib.crc32, size - 1
         for pdf in frames:
             rows = []
             for k, body in zip(pdf[key], pdf[text]):
-                for m in _WORD.finditer(re.sub(r"\s+", " ", body or "")):
-                    w = m.group()
-                    if w not in known:
-                        known[w] = bool(may[_bucket(w)])
-                    if known[w]:
-                        rows.append((k, m.start(), w))
-            known = known if len(known) < WORD_BUCKETS else {}
-            yield pd.DataFrame(rows, columns=[key, "at", "word"])
-
-    # slim words meet the dictionary; only places that may hold a phrase meet their text again, its blanks squeezed alike
-    schema = texts.select(F.col(key), F.lit(0).alias("at"), F.lit("").alias("word")).schema
-    met = texts.select(key, text).mapInPandas(tokens, schema).join(first, "word")
-    flat = texts.select(key, F.regexp_replace(text, _BLANKS, " ").alias("_flat"))
-    met = met.join(flat, key).where(F.substr("_flat", F.col("at") + 1, F.length("term")) == F.col("term"))
-    found = met.groupBy(key).agg(F.collect_list(F.struct("at", "term")).alias("_found"))
-    out_schema = texts.select(F.col(key), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit("").alias("term")).schema
+                if not body:
+                    continue
+                flat, places = _squeezed(body)
+                ends, first = _ends(flat), 0
+                pieces: list[bytes] = [b""] * len(ends)
+                for a in _starts(flat):
+                    while first < len(ends) and ends[first] <= a:
+                        first += 1
+                    at, told = a, 0
+                    for n in range(first, len(ends)):
+                        e = ends[n]
+                        if n == first:
+                            piece = flat[at:e].encode("utf-8", "surrogatepass")
+                        else:
+                            piece = pieces[n] = pieces[n] or flat[at:e].encode("utf-8", "surrogatepass")
+                        told, at = crc(piece, told), e
+                        bit = told & mask
+                        if not begun[bit >> 3] >> (7 - (bit & 7)) & 1:
+                            break
+                        if whole[bit >> 3] >> (7 - (bit & 7)) & 1:
+                            rows.append((k, places[a], places[e - 1] + 1, flat[a:e]))
+            yield pd.DataFrame(rows, columns=[key, "a", "b", "term"])
+
+    met = texts.select(key, text).mapInPandas(seen, out_schema).join(split, "term", "left_semi").select(key, "a", "b", "term")
+    if policy == "all":  # overlaps stay
+        return cut_lineage(met)
+    found = met.groupBy(key).agg(F.collect_list(F.struct("a", "b", "term")).alias("_found"))
 
     def settle_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = []
-            for k, body, spots in zip(pdf[key], pdf[text], pdf["_found"]):
-                line, places = _squeezed(body)
-                spans = [(x["at"], x["at"] + len(x["term"]), x["term"]) for x in spots]
-                rows += [(k, places[a], places[b - 1] + 1, t) for a, b, t in settle([x for x in spans if _guarded(line, x[0], x[1])])]
+            rows = [(k, a, b, t) for k, spots in zip(pdf[key], pdf["_found"]) for a, b, t in settle([(x["a"], x["b"], x["term"]) for x in spots])]
             yield pd.DataFrame(rows, columns=[key, "a", "b", "term"])
 
     # few rows, read more than once by those that resolve them
-    return cut_lineage(found.join(texts.select(key, text), key).select(key, text, "_found").mapInPandas(settle_all, out_schema))
+    return cut_lineage(found.mapInPandas(settle_all, out_schema))
 
 
 def scan_any(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:

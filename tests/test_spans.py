@@ -119,3 +119,19 @@ def test_term_hits(spark):
 
 def test_candidate_pattern_compiles_as_python():
     assert re.compile(vocab.CANDIDATE).search("The Blue Head Test Site")
+
+
+def test_phrases_that_begin_alike_are_not_moved(spark):
+    """A word that begins many phrases costs no row a phrase wherever it stands: only spans that are phrases are moved."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: sum(store.lastStageAttempt(i).shuffleWriteRecords() for i in done())
+    done = lambda: [s for g in [spark.sparkContext.statusTracker().getJobIdsForGroup("moved")] for j in g for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds]
+    d, table = docs(spark, *["Test " * 100 + f"Test no{i}" for i in range(10)]), spark.createDataFrame([(f"Test no{i}",) for i in range(1000)], "term string")
+    spark.sparkContext.setJobGroup("moved", "")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        got = pairs(spans.scan_table(d, table, "leftmost"))
+        assert got == [(i, 500, 508, f"Test no{i}") for i in range(10)] and written() < 10_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
