@@ -57,7 +57,7 @@ def resolve(mentions: DataFrame, docs: DataFrame, terms: DataFrame, projects: Da
     every = terms.select("project_id", F.col("term").alias("cue"))
     every = (every if cues is None else every.unionByName(cues.select("project_id", "cue"))).select("project_id", spans.squeezed(F.col("cue")).alias("cue")).where("cue <> ''").distinct()
     # a project that owns an unsure term: its other cues. Every surrounding is read once for all cues, whoever owns them
-    asked = terms.join(owners.where("n > 1 or weak").select("term"), "term").select("term", "project_id").join(every, "project_id").where("cue <> term")
+    asked = cut_lineage(terms.join(owners.where("n > 1 or weak").select("term"), "term").select("term", "project_id").join(every, "project_id").where("cue <> term"))
     told = spans.scan_any(texts.select("_m", "text"), asked.select(F.col("cue").alias("term")).distinct(), "all", "_m").select("_m", F.col("term").alias("cue")).distinct()
     hits = told.join(texts.select("_m", "term", "_land"), "_m").join(asked, ["term", "cue"])
     scored = hits.groupBy("_m", "_land", "project_id").agg(F.array_sort(F.collect_set("cue")).alias("_hits")).join(projects.select("project_id", "country", "reporting_country"), "project_id", "left")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,10 +19,13 @@ from ..session import cut_lineage
 AUTOMATON_LIMIT = 50_000
 # bits (as powers of 2) of the tables that tell the spans worth a join: 64 a phrase within these bounds
 LEAST_BITS, MOST_BITS = 20, 26
+KNOWN = 1 << 20  # first words whose checksums a task keeps
 SPAN = "array<struct<a:int,b:int,term:string>>"
 _EDGE = re.compile(r"[\w-]")
-_START = re.compile(r"(?<![\w-])[^ ]")
-_END = re.compile(r"[^ ](?![\w-])")
+_RUN = re.compile(r"\s+")
+# of a squeezed text: where a phrase may begin, with what lies before the first place where it may end; what lies before the next such place
+_FIRST = re.compile(r"(?<![\w-])(?=([^ ][\w-]*))")
+_NEXT = re.compile(r" ?[^ ][\w-]*")
 # what Python takes for white space, for Spark's regular expressions
 _BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
@@ -36,21 +39,18 @@ def _guarded(text: str, a: int, b: int) -> bool:
     return not (a > 0 and _EDGE.match(text[a - 1])) and not (b < len(text) and _EDGE.match(text[b]))
 
 
-def _squeezed(text: str) -> tuple[str, list[int]]:
+def _squeezed(text: str) -> tuple[str, Sequence[int]]:
     """The text with runs of white space as one blank, and the place of each character in the text."""
-    out, places, blank = [], [], False
-    for i, c in enumerate(text):
-        if c.isspace():
-            if not blank:
-                out.append(" ")
-                places.append(i)
-            blank = True
-        else:
-            out.append(c)
-            places.append(i)
-            blank = False
-    places.append(len(text))
-    return "".join(out), places
+    flat = _RUN.sub(" ", text)
+    if len(flat) == len(text):
+        return flat, range(len(text) + 1)
+    places: list[int] = []
+    last = 0
+    for m in _RUN.finditer(text):
+        places.extend(range(last, m.start() + 1))
+        last = m.end()
+    places.extend(range(last, len(text) + 1))
+    return flat, places
 
 
 def claim_longest(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -109,22 +109,12 @@ def scan(texts: DataFrame, phrases: list[str], policy: str = "longest", key: str
     return texts.select(key, text).mapInPandas(run, schema)
 
 
-def _starts(text: str) -> list[int]:
-    """Where a phrase may begin in a squeezed text: a mark or letter with no word character or hyphen before it."""
-    return [m.start() for m in _START.finditer(text)]
-
-
-def _ends(text: str) -> list[int]:
-    """Where a phrase may end in a squeezed text: behind a mark or letter with no word character or hyphen after it."""
-    return [m.end() for m in _END.finditer(text)]
-
-
-def _prefixes(term: str) -> Iterator[tuple[int, int]]:
-    """The places in ``term`` where a phrase may end, the last is its own end, and a running checksum of what lies before each."""
+def _prefixes(term: str) -> Iterator[int]:
+    """A running checksum of what lies before each place in a squeezed ``term`` where a phrase may end; the last is of all of it."""
     at, told = 0, 0
-    for e in _ends(term):
-        told, at = zlib.crc32(term[at:e].encode("utf-8", "surrogatepass"), told), e
-        yield e, told
+    while m := _NEXT.match(term, at):
+        told, at = zlib.crc32(m.group().encode("utf-8", "surrogatepass"), told), m.end()
+        yield told
 
 
 def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -145,7 +135,7 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
         for pdf in frames:
             for t in pdf["term"]:
                 last = None
-                for _, told in _prefixes(t):
+                for told in _prefixes(t):
                     last = told & (size - 1)
                     begun[last] = True
                 if last is not None:
@@ -161,31 +151,34 @@ def scan_table(texts: DataFrame, phrases: DataFrame, policy: str = "longest", ke
 
     def seen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         begun, whole = kept.value
-        crc, mask = zlib.crc32, size - 1
+        crc, mask, known = zlib.crc32, size - 1, {}
+        has = lambda table, told: table[(told & mask) >> 3] >> (7 - (told & 7)) & 1
         for pdf in frames:
             rows = []
             for k, body in zip(pdf[key], pdf[text]):
                 if not body:
                     continue
                 flat, places = _squeezed(body)
-                ends, first = _ends(flat), 0
-                pieces: list[bytes] = [b""] * len(ends)
-                for a in _starts(flat):
-                    while first < len(ends) and ends[first] <= a:
-                        first += 1
-                    at, told = a, 0
-                    for n in range(first, len(ends)):
-                        e = ends[n]
-                        if n == first:
-                            piece = flat[at:e].encode("utf-8", "surrogatepass")
-                        else:
-                            piece = pieces[n] = pieces[n] or flat[at:e].encode("utf-8", "surrogatepass")
-                        told, at = crc(piece, told), e
-                        bit = told & mask
-                        if not begun[bit >> 3] >> (7 - (bit & 7)) & 1:
-                            break
-                        if whole[bit >> 3] >> (7 - (bit & 7)) & 1:
+                for m in _FIRST.finditer(flat):
+                    word = m[1]
+                    told = known.get(word)
+                    if told is None:
+                        told = crc(word.encode("utf-8", "surrogatepass"))
+                        told = known[word] = told if has(begun, told) else -1
+                    if told < 0:  # the usual case
+                        continue
+                    a = m.start()
+                    e = a + len(word)
+                    while True:
+                        if has(whole, told):
                             rows.append((k, places[a], places[e - 1] + 1, flat[a:e]))
+                        n = _NEXT.match(flat, e)
+                        if n is None:
+                            break
+                        told, e = crc(n.group().encode("utf-8", "surrogatepass"), told), n.end()
+                        if not has(begun, told):
+                            break
+            known = known if len(known) < KNOWN else {}
             yield pd.DataFrame(rows, columns=[key, "a", "b", "term"])
 
     met = texts.select(key, text).mapInPandas(seen, out_schema).join(split, "term", "left_semi").select(key, "a", "b", "term")
