@@ -72,13 +72,17 @@ def proposed(projects: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return terms.groupBy("project_id", "term").agg(F.min_by("field", F.struct("o", "i")).alias("field"))
 
 
-def flags(terms: DataFrame, hits: DataFrame, is_place: Column, frequent: int = FREQUENT) -> DataFrame:
-    """Adds ``n_hits``, ``n_years``, ``flags``: shared with other projects, place name, frequent. Owners are counted once a term."""
-    owners = terms.groupBy("term").agg(F.array_sort(F.collect_set("project_id")).alias("owners"))
-    t = terms.join(owners, "term").join(hits.select("term", "n_hits", "years"), "term", "left")
-    others = F.array_join(F.array_remove("owners", F.col("project_id")), ", ")
+def flags(terms: DataFrame, hits: DataFrame, is_place: Column, frequent: int = FREQUENT, name_owners: bool = True) -> DataFrame:
+    """Adds ``n_hits``, ``n_years``, ``flags``: shared with other projects, place name, frequent. Owners are counted once a term.
+
+    Without ``name_owners`` a shared term is flagged ``shared`` alone: naming all owners to each takes rows and bytes that grow as
+    the square of the projects that share a term.
+    """
+    owned = F.array_sort(F.collect_set("project_id")).alias("owners") if name_owners else F.count_distinct("project_id").alias("owners")
+    t = terms.join(terms.groupBy("term").agg(owned), "term").join(hits.select("term", "n_hits", "years"), "term", "left")
     n = F.coalesce("n_hits", F.lit(0))
-    text = F.concat_ws("; ", F.when(F.size("owners") > 1, F.concat(F.lit("shared with "), others)), F.when(is_place, "place name"), F.when(n > frequent, F.concat(F.lit("frequent ("), n.cast("string"), F.lit(")"))))
+    shared = F.when(F.size("owners") > 1, F.concat(F.lit("shared with "), F.array_join(F.array_remove("owners", F.col("project_id")), ", "))) if name_owners else F.when(F.col("owners") > 1, "shared")
+    text = F.concat_ws("; ", shared, F.when(is_place, "place name"), F.when(n > frequent, F.concat(F.lit("frequent ("), n.cast("string"), F.lit(")"))))
     return t.select(*terms.columns, n.cast("bigint").alias("n_hits"), F.coalesce(F.size("years"), F.lit(0)).alias("n_years"), text.alias("flags"))
 
 

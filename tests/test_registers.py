@@ -178,3 +178,13 @@ def test_workbooks_by_country(spark):
         sinks.country_workbooks(df, most_rows=1)
     with pytest.raises(ValueError):
         sinks.json_payload(df, ["id"], most_rows=2)
+
+
+def test_flags_of_a_widely_shared_term_stay_small(spark):
+    """What is told of a term that many projects share does not grow with their number, and prunes as the owners' names do."""
+    rows = [(f"P{i:03}", t) for i in range(300) for t in ("Foo", f"Foo Bay{i}")]
+    t, h = spark.createDataFrame(rows, "project_id string, term string"), spark.createDataFrame([("Foo", 3, [2010])], "term string, n_hits bigint, years array<int>")
+    short = terms.flags(t, h, F.lit(False), name_owners=False)
+    assert {r.flags for r in short.collect()} == {"", "shared"}
+    kept = lambda f: sorted((r.project_id, r.terms) for r in terms.prune(f).collect())
+    assert kept(short) == kept(terms.flags(t, h, F.lit(False))) and len(kept(short)) == 300
