@@ -188,3 +188,18 @@ def test_flags_of_a_widely_shared_term_stay_small(spark):
     assert {r.flags for r in short.collect()} == {"", "shared"}
     kept = lambda f: sorted((r.project_id, r.terms) for r in terms.prune(f).collect())
     assert kept(short) == kept(terms.flags(t, h, F.lit(False))) and len(kept(short)) == 300
+
+
+def test_names_of_the_same_letters_are_not_all_compared(spark):
+    """Names that share runs of letters but can't reach the ratio are told apart before the comparison in Python, unlike lands too."""
+    import random
+
+    from docengine.operators import resolve
+
+    rnd = random.Random(5)
+    words = ["bremo", "vistika", "holmsa", "kodilan", "ferrasu", "gantobi", "wick"]
+    names = sorted({" ".join(rnd.sample(words, 3)) for _ in range(100)})
+    n = spark.createDataFrame([(x, "France" if x == names[0] else "", x) for x in names], "name_id string, land string, c string")
+    c = spark.createDataFrame([(x, "Spain", x) for x in names], "site_id string, s_land string, sc string")
+    got = {(r.c, r.sc) for r in resolve._share_grams(n, c).collect()}
+    assert {(x, x) for x in names[1:]} <= got and not any(a == names[0] for a, _ in got) and len(got) < 10 * len(names)
