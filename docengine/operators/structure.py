@@ -186,11 +186,22 @@ def offsets(rows: DataFrame) -> DataFrame:
     return rows.withColumn("start", F.coalesce(before, F.lit(0)).cast("bigint"))
 
 
+def _as_one(lines: Column) -> list[Column]:
+    """``text`` and ``starts`` of an array of lines."""
+    starts = F.aggregate(lines, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("s")), lambda a, x: F.struct((a["at"] + F.length(x) + 1).alias("at"), F.concat(a["s"], F.array(a["at"])).alias("s")), lambda a: a["s"])
+    return [F.array_join(lines, " ").alias("text"), starts.alias("starts")]
+
+
 def joined(rows: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` (lines joined by one blank), ``starts`` (where each line begins)."""
     g = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
-    starts = F.aggregate("l.line", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("s")), lambda a, x: F.struct((a["at"] + F.length(x) + 1).alias("at"), F.concat(a["s"], F.array(a["at"])).alias("s")), lambda a: a["s"])
-    return g.select("doc_id", F.array_join("l.line", " ").alias("text"), starts.alias("starts"))
+    return g.select("doc_id", *_as_one(F.col("l.line")))
+
+
+def joined_documents(docs: DataFrame, *columns: str) -> DataFrame:
+    """``joined`` of the ``lines`` of ``docs``, with their ``columns`` kept. One document a row, so nothing is moved."""
+    cleaned = docs.select("doc_id", *columns, T.clean_lines(F.col("text")).alias("l")).where("size(l) > 0")
+    return cleaned.select("doc_id", *columns, *_as_one(F.col("l")))
 
 
 def line_of(starts: Column, offset: Column) -> Column:

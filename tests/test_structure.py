@@ -103,3 +103,11 @@ def test_results_do_not_depend_on_partitions(spark):
         got.append(sorted(map(str, project_rows(spark, "/root/testdata/sf0.001").collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got[0] == got[1] and got[0]
+
+
+def test_documents_joined_in_place_are_as_their_lines_joined(spark):
+    """A document's lines as one text without a shuffle: as their lines gathered again, with nulls and texts without lines."""
+    d = spark.createDataFrame([(1, "One\n\n  Two words\n12\nThree"), (2, None), (3, ""), (4, "x\r\ny"), (5, "\n\n")], "doc_id bigint, text string")
+    rows = lambda df: sorted((r.doc_id, r.text, r.starts) for r in df.collect())
+    got = S.joined_documents(d)
+    assert rows(got) == rows(S.joined(S.lines(d))) and "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
