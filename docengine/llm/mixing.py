@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import defaultdict, deque
 from fractions import Fraction
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, Window
 
@@ -55,6 +56,80 @@ def min_cost_flow(arcs: list[tuple[str, str, int, int]], source: str, sink: str)
         total += most
 
 
+def min_cost_flow_by_levels(arcs: list[tuple[str, str, int, int]], source: str, sink: str) -> tuple[int, list[int]]:
+    """As ``min_cost_flow``, with as many rounds as there are different costs of a path, for graphs of many arcs.
+
+    All paths of the least cost are filled at once, by blocking flows over the arcs that lie on one; costs must not be negative.
+    """
+    node: dict[str, int] = {}
+    to, cap, cost, at = [], [], [], []
+    for a, b, c, w in arcs:
+        for u, v, k, p in ((a, b, c, w), (b, a, 0, -w)):
+            for x in (u, v):
+                if x not in node:
+                    node[x] = len(node)
+                    at.append([])
+            at[node[u]].append(len(to))
+            to.append(node[v])
+            cap.append(k)
+            cost.append(p)
+    if source not in node or sink not in node:
+        return 0, [0] * len(arcs)
+    s, t, total = node[source], node[sink], 0
+    pot = [0] * len(node)
+    while True:
+        # what a path costs beyond the potentials, none below 0
+        far, heap = {s: 0}, [(0, s)]
+        while heap:
+            d, u = heappop(heap)
+            if d > far[u]:
+                continue
+            for e in at[u]:
+                v = to[e]
+                if cap[e] > 0 and (x := d + cost[e] + pot[u] - pot[v]) < far.get(v, 1 << 60):
+                    far[v] = x
+                    heappush(heap, (x, v))
+        if t not in far:
+            return total, [cap[2 * i + 1] for i in range(len(arcs))]
+        for u in range(len(pot)):
+            pot[u] += min(far.get(u, far[t]), far[t])
+        while True:  # the largest flow over arcs without a cost of their own: levels, then a blocking flow
+            level, waits = {s: 0}, deque([s])
+            while waits:
+                u = waits.popleft()
+                for e in at[u]:
+                    if cap[e] > 0 and to[e] not in level and cost[e] + pot[u] - pot[to[e]] == 0:
+                        level[to[e]] = level[u] + 1
+                        waits.append(to[e])
+            if t not in level:
+                break
+            tried, path, u = [0] * len(at), [], s
+            while True:
+                if u == t:
+                    most = min(cap[e] for e in path)
+                    total += most
+                    for e in path:
+                        cap[e] -= most
+                        cap[e ^ 1] += most
+                    cut = next(i for i, e in enumerate(path) if cap[e] == 0)
+                    u = to[path[cut] ^ 1]
+                    del path[cut:]
+                    continue
+                while tried[u] < len(at[u]):
+                    e = at[u][tried[u]]
+                    if cap[e] > 0 and level.get(to[e], -1) == level[u] + 1 and cost[e] + pot[u] - pot[to[e]] == 0:
+                        break
+                    tried[u] += 1
+                else:
+                    if not path:
+                        break
+                    u = to[path.pop() ^ 1]
+                    tried[u] += 1
+                    continue
+                path.append(e)
+                u = to[e]
+
+
 def plan(patterns: dict[tuple[str, ...], int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[tuple[tuple[str, ...], str], int]:
     """Tokens each pattern gives to each source. ``targets``: share and cap by source; ``total``: tokens wanted.
 
@@ -79,7 +154,7 @@ def plan(patterns: dict[tuple[str, ...], int], targets: dict[str, tuple[float, i
         for s, t in share.items():
             arcs.append((f"s{s}", "T", int(t * size), 0))
             kept.append(None)
-        size_got, on = min_cost_flow(arcs, "S", "T")
+        size_got, on = (min_cost_flow if len(patterns) <= MAX_PATTERNS else min_cost_flow_by_levels)(arcs, "S", "T")
         return size_got, kept, on
 
     def met(size: int) -> bool:
@@ -101,7 +176,7 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
 
     ``docs`` has ``doc_id``, ``memberships`` (array of sources) and ``n_tokens``; ``targets`` has ``source``,
     ``target_share``, ``max_repeats`` (a small table of sources). Documents without tokens or without a target source are
-    not used. Of more than ``MAX_PATTERNS`` sets of sources the documents of rarer ones are dealt to their sources first. Each source's tokens differ from its quota by less than one document.
+    not used. Of more than ``MAX_PATTERNS`` sets of sources the flow is found by levels of cost, at no loss. Each source's tokens differ from its quota by less than one document.
     """
     spark = docs.sparkSession
     wanted = {r["source"]: (float(r["target_share"]), int(r["max_repeats"] or 0)) for r in targets.where("source is not null and target_share > 0").select("source", "target_share", "max_repeats").collect()}
@@ -113,12 +188,6 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
     # a running sum over at most BUCKETS rows a pattern, in tasks
     place = sums.withColumn("offset", F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     most = sums.groupBy("pattern").agg(F.sum("n").alias("n"))
-    count = most.count()
-    if count > MAX_PATTERNS:  # the documents of rarer patterns are dealt to their sources
-        rows, count = _narrowed(rows, most, wanted), None
-        sums = rows.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("n"))
-        place = sums.withColumn("offset", F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-        most = sums.groupBy("pattern").agg(F.sum("n").alias("n"))
     totals = {r["pattern"]: r["n"] for r in most.orderBy("pattern").collect()}  # a row a pattern
     flows = plan({tuple(p.split("\x1f")): n for p, n in totals.items()}, wanted, total)
     stretches: dict[str, list[tuple[str, int, int]]] = defaultdict(list)
@@ -133,25 +202,10 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
     placed = rows.withColumn("x", F.coalesce(running, F.lit(0))).join(place, ["pattern", "bucket"]).withColumn("x", F.col("x") + F.col("offset"))
     plans = spark.createDataFrame([Row(pattern=p, source=s, a=a, b=b, size=totals[p]) for p, x in stretches.items() for s, a, b in x], "pattern string, source string, a bigint, b bigint, size bigint")
     before: Column = lambda end: F.floor((F.col(end) - 1 - F.col("x")) / F.col("size"))
-    used = placed.join(F.broadcast(plans), "pattern").withColumn("repeats", (before("b") - before("a")).cast("bigint"))
+    used = placed.join(F.broadcast(plans) if len(stretches) <= MAX_PATTERNS else plans, "pattern").withColumn("repeats", (before("b") - before("a")).cast("bigint"))
     return used.where("repeats > 0").select("doc_id", "source", F.col("n_tokens").cast("bigint").alias("n_tokens"), "repeats")
 
 
-def _narrowed(rows: DataFrame, most: DataFrame, wanted: dict[str, tuple[float, int]]) -> DataFrame:
-    """``rows`` with at most ``MAX_PATTERNS`` patterns: the largest keep all their sources, the documents of each other one are dealt to its sources by their shares.
-
-    No document is left out, and each still stands for a source of its own; only the choice among several is lost for rare patterns.
-    """
-    kept = most.orderBy(F.desc("n"), "pattern").limit(max(0, MAX_PATTERNS - len(wanted))).select("pattern", F.lit(True).alias("_kept"))
-    share = F.create_map(*[F.lit(x) for s, (t, _) in sorted(wanted.items()) for x in (s, float(t))])
-    own = F.transform(F.split("pattern", "\x1f"), lambda s: F.struct(s.alias("s"), F.element_at(share, s).alias("t")))
-    whole = F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x["t"])
-    at = F.pmod(F.xxhash64("order", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30)) * whole
-    step = lambda acc, x: F.struct((acc["left"] - x["t"]).alias("left"), F.when(acc["left"] >= 0, x["s"]).otherwise(acc["s"]).alias("s"))
-    dealt = F.aggregate(own, F.struct(at.alias("left"), F.lit("").alias("s")), step, lambda acc: acc["s"])
-    return rows.join(F.broadcast(kept), "pattern", "left").withColumn("pattern", F.when(F.col("_kept"), F.col("pattern")).otherwise(dealt)).drop("_kept")
-
-
 def shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     """Reached against wanted: ``source``, ``target_share``, ``actual_share``, ``tokens``, ``n_documents``, ``most_repeats``."""
     per = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("n_documents"), F.max("repeats").alias("most_repeats"))

@@ -100,3 +100,31 @@ def test_overlap_query(spark, sf):
     assert rows and all(r.source in of[r.doc_id] and r.repeats <= caps[r.source] for r in rows)
     assert len({r.source.startswith("lang ") for r in rows}) == 2
     assert all(abs(r.actual_share - r.target_share) < 0.1 for r in p9_overlap_shares(spark, sf).collect())
+
+
+def test_flow_by_levels_costs_as_little():
+    """Random plans of sources: both ways give a flow of the same size and cost, within capacities, and keep what goes in."""
+    import random
+
+    rnd = random.Random(4)
+    for _ in range(150):
+        sources, arcs = [f"s{i}" for i in range(rnd.randint(1, 4))], []
+        for i in range(rnd.randint(1, 6)):
+            arcs += [("S", f"p{i}", rnd.randint(1, 9), r) for r in range(rnd.randint(1, 4))]
+            arcs += [(f"p{i}", x, rnd.randint(1, 20), 0) for x in rnd.sample(sources, rnd.randint(1, len(sources)))]
+        arcs += [(x, "T", rnd.randint(0, 25), 0) for x in sources]
+        (size, on), (want, best) = mixing.min_cost_flow_by_levels(arcs, "S", "T"), mixing.min_cost_flow(arcs, "S", "T")
+        cost = lambda flow: sum(f * a[3] for f, a in zip(flow, arcs))
+        assert size == want and cost(on) == cost(best) and all(0 <= f <= a[2] for f, a in zip(on, arcs))
+        for x in {a[0] for a in arcs} - {"S"}:
+            assert sum(f for f, a in zip(on, arcs) if a[1] == x) == sum(f for f, a in zip(on, arcs) if a[0] == x)
+
+
+def test_many_patterns_keep_their_choice(spark, monkeypatch):
+    """Beyond ``MAX_PATTERNS`` every set of sources keeps all its sources: the mixture is as large as with fewer."""
+    docs = [(i, ["a", "b"], 10) for i in range(100)] + [(200 + i, ["a"], 10) for i in range(90)] + [(400 + i, ["a", "c"], 10) for i in range(10)]
+    targets = [("a", 0.5, 1), ("b", 0.45, 1), ("c", 0.05, 1)]
+    used = lambda: sum(r.n_tokens * r.repeats for r in mix(spark, docs, targets)[0])
+    most = used()
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    assert used() == most
