@@ -9,14 +9,16 @@ so that the total confidence is largest.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from ..functions.countries import canonical_country
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_packed, free_unused
 from .assignment import best_assignment
 from .components import components
 from .lcs import lcs_ratio, lcs_ratios
@@ -28,16 +30,39 @@ REACH = 6  # how far apart in a record's name place and owner may stand
 # weights of the field similarities
 PLACE, COUNTRY, TECHNOLOGY, OWNER = 0.55, 0.15, 0.1, 0.2
 FIELDS = ("place", "owners", "others", "lead", "country", "kind")
-PROFILE = "side string, id string, place array<string>, owners array<string>, others array<string>, lead array<string>, country string, kind string, keys array<string>"
+# ``fields`` has all FIELDS as one JSON text: what is moved and kept of a profile
+PROFILE = "side string, id string, place array<string>, owners array<string>, others array<string>, lead array<string>, country string, kind string, fields string"
 
 
-def _usual(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
-    """Each record's most frequent value of every field, over all its rows; counts are summed before they are compared."""
-    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("c")
-    counts = df.select(F.col(id_col).alias("id"), cells).select("id", "c.*").where("v is not null").groupBy("id", "f", "v").agg(F.count("*").alias("n"))
-    best = counts.groupBy("id", "f").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
-    wide = best.groupBy("id").agg(*[F.max(F.when(F.col("f") == f, F.col("v"))).alias(f) for f in fields])
-    return df.select(F.col(id_col).alias("id")).where("id is not null").distinct().join(wide, "id", "left")
+def _counted(df: DataFrame) -> DataFrame:
+    """Equal rows of a batch as one, with their number ``n``, so that a hot key moves few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.schema.names
+            yield from pa.Table.from_batches([b]).group_by(names).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "n"]).to_batches()
+
+    return df.mapInArrow(run, df.withColumn("n", F.lit(0).cast("bigint")).schema)
+
+
+def _usual(df: DataFrame, id_col: str, fields: list[str], other: DataFrame | None = None) -> DataFrame:
+    """Each record's most frequent value of every field, over all its rows; counts are summed before they are compared.
+
+    With ``other`` (``id``, ``name``) also ``names``, every different ``name`` of a record's rows and of these. The rows are
+    moved once, by record, and reduced there.
+    """
+    rows = df.select(F.col(id_col).alias("id"), *[F.col(f).cast("string") for f in fields], F.lit(None).cast("string").alias("_other"))
+    if other is not None:
+        # names of what no row describes tell nothing
+        rows = rows.withColumn("_own", F.lit(True)).unionByName(other.select("id", F.col("name").alias("_other"), F.lit(False).alias("_own")), allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("_own", F.lit(True))
+    here = _counted(rows.where("id is not null")).repartition("id")
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in [*fields, "_other"]])).alias("c")
+    counts = here.select("id", "_own", "n", cells).select("id", "_own", "n", "c.*").groupBy("id", "_own", "f", "v").agg(F.sum("n").alias("n"))
+    best = [F.max_by("v", F.when((F.col("f") == f) & F.col("v").isNotNull(), F.struct("n", "v"))).alias(f) for f in fields]
+    names = [F.collect_set(F.when(F.col("f").isin("name", "_other"), F.col("v"))).alias("names")] if other is not None else []
+    return counts.groupBy("id").agg(*best, *names, F.max("_own").alias("_own")).where("_own").drop("_own")
 
 
 def _orders(pairs: set[tuple[str, str]], owned: set[tuple[str, str]]) -> set[str]:
@@ -47,12 +72,19 @@ def _orders(pairs: set[tuple[str, str]], owned: set[tuple[str, str]]) -> set[str
     return keys | {f"5{b} {a}" for a, b in owned}
 
 
+def _keys(side: str, place: list[str], own: list[str], others: list[str], lead: list[str]) -> set[str]:
+    """The sort keys of a profile, from its fields alone."""
+    if side == "p":
+        return _orders(set(zip(place, place[1:])), {(p, o) for p in place for o in (*own, *lead)})
+    told = len(own) >= 2 or len(others) >= 2  # the place is whole elsewhere
+    near = set() if told else {(place[i], place[j]) for i in range(len(place)) for j in range(max(0, i - REACH), min(len(place), i + REACH + 1)) if place[i] != place[j]}
+    return _orders({x for words_ in (place, others, own) for x in zip(words_, words_[1:])}, near)
+
+
 def _project_row(r: dict) -> tuple:
     place = place_of(r["name"], r["device"], r["developer"], r["primre_website"], r["location"])
-    own = owners(r["device"], r["developer"])
     extra = [w for w in telling(r["name"]) if max((lcs_ratio(w, p) for p in place), default=0.0) < 0.7]
-    owned = {(p, o) for p in place for o in own}
-    return "p", r["id"], list(place), list(owners(r["device"], "")), extra, list(owners("", r["developer"])), canonical_country(r["country"]), r["technology"], sorted(_orders(set(zip(place, place[1:])), owned))
+    return "p", r["id"], list(place), list(owners(r["device"], "")), extra, list(owners("", r["developer"])), canonical_country(r["country"]), r["technology"]
 
 
 def _variant_rows(pdf: pd.DataFrame) -> list[tuple]:
@@ -83,10 +115,7 @@ def _record_rows(pdf: pd.DataFrame) -> list[tuple]:
         lands = set(words(r["country"]))
         aside = [w for part in r["location"].split(",") for w in (telling(part) if not set(words(part)) & REGION else []) if w not in lands]
         spots = list(slug(r["primre_website"]))
-        pairs = {x for s in (named, aside, spots) for x in zip(s, s[1:])}
-        told = len(spots) >= 2 or len(aside) >= 2  # the place is whole elsewhere
-        owned = set() if told else {(named[i], named[j]) for i in range(len(named)) for j in range(max(0, i - REACH), min(len(named), i + REACH + 1)) if named[i] != named[j]}
-        out.append(("r", r["id"], named, spots, aside, lead_of(r["primre_name"]), canonical_country(r["country"]), r["primre_resource"], sorted(_orders(pairs, owned))))
+        out.append(("r", r["id"], named, spots, aside, lead_of(r["primre_name"]), canonical_country(r["country"]), r["primre_resource"]))
     return out
 
 
@@ -156,13 +185,13 @@ def _neighbours(keys: DataFrame, window: int) -> DataFrame:
 
     The window counts distinct keys of a side, however many rows have them. Keys are range-partitioned; where a partition begins, its
     first keys are windowed once more after the keys before it, from as many partitions as these lie in, so the result
-    does not depend on how the order is cut. All rows of equal or neighbouring keys meet, by joins on the keys, which Spark
-    splits where a key is hot.
+    does not depend on how the order is cut. All rows of equal or neighbouring keys meet, by joins on the keys' hashes, which Spark
+    splits where a key is hot; a hash that two keys share can only add a pair to compare. ``land`` (optional): pairs whose lands
+    are not null and differ are left out.
     """
-    of = lambda s, key, one: keys.where(F.col("side") == s).select(F.col("key").alias(key), F.col("id").alias(one))
-    # equal keys meet without the window
-    same = of("p", "key", "project_id").join(of("r", "key", "primre_row_id"), "key").select("project_id", "primre_row_id")
-    ordered = keys.select("key", "side").distinct().repartitionByRange("key", "side").sortWithinPartitions("key", "side").withColumn("part", F.spark_partition_id())
+    told = ["land"] if "land" in keys.columns else []
+    of = lambda s, key, one: keys.where(F.col("side") == s).select(F.xxhash64("key").alias(key), F.col("id").alias(one), *[F.col(c).alias(f"{c}_{s}") for c in told])
+    ordered = keys.select("key", "side").repartitionByRange("key").distinct().sortWithinPartitions("key", "side").withColumn("part", F.spark_partition_id())
     reach = 4 * window
     schema = "p string, r string, part int, n bigint, place bigint, key string, side string"
     columns = [c.split(" ")[0] for c in schema.split(", ")]
@@ -177,6 +206,9 @@ def _neighbours(keys: DataFrame, window: int) -> DataFrame:
             now = pd.concat([tail, pdf[["key", "side"]]], ignore_index=True)
             names, sides = now["key"].to_numpy(str), now["side"].to_numpy(str)
             p, r = _met(names, sides, window, len(tail))
+            same = np.flatnonzero(names[1:] == names[:-1])  # equal keys, which lie in one partition, meet without the window
+            same = same[same + 1 >= len(tail)]
+            p, r = np.concatenate([p, same]), np.concatenate([r, same])
             yield filled(len(p), p=names[p].tolist(), r=names[r].tolist())
             if n < reach:
                 head += [(part, n + i, k, s) for i, (k, s) in enumerate(zip(pdf["key"].iloc[: reach - n], pdf["side"]))]
@@ -186,7 +218,9 @@ def _neighbours(keys: DataFrame, window: int) -> DataFrame:
             ends = {place: (part, place, k, s) for part, place, k, s in head} | {n - len(tail) + i: (part, n - len(tail) + i, k, s) for i, (k, s) in enumerate(zip(tail["key"], tail["side"]))}
             yield filled(len(ends), n=[n] * len(ends), **dict(zip(("part", "place", "key", "side"), zip(*ends.values()))))
 
-    once = cut_lineage(ordered.mapInPandas(run, schema))
+    hashed = [F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in "pr"]
+    once = cut_packed(ordered.mapInPandas(run, schema).select(*hashed, *columns[2:]))
+    free_unused(keys.sparkSession)
     # which partitions' first keys the last keys of a partition go before; a row a partition comes to the driver
     counts = [(r["part"], r["n"]) for r in once.where("part is not null").groupBy("part").agg(F.max("n").alias("n")).orderBy("part").collect()]
     follow = []
@@ -210,32 +244,24 @@ def _neighbours(keys: DataFrame, window: int) -> DataFrame:
             p, r = _met(names, sides, window, int((rows["part"] < seam).sum()))
             yield pd.DataFrame({"p": names[p].tolist(), "r": names[r].tolist()}, dtype=object)
 
-    met = once.where("part is null").select("p", "r").unionByName(sent.repartition("seam").mapInPandas(seams, "p string, r string")).distinct()
-    near = met.join(of("p", "p", "project_id"), "p").join(of("r", "r", "primre_row_id"), "r").select("project_id", "primre_row_id")
-    return same.unionByName(near).distinct()
+    met = once.where("part is null").select("p", "r").unionByName(sent.repartition("seam").mapInPandas(seams, "p string, r string").select(*hashed))
+    near = met.join(of("r", "r", "primre_row_id"), "r").drop("r").join(of("p", "p", "project_id"), "p")
+    if told:
+        near = near.where("land_p is null or land_r is null or land_p = land_r")
+    return near.select("project_id", "primre_row_id").distinct()
 
 
 def _compared(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """``pairs`` whose records stand together, with their confidence."""
-    side = lambda s, key: profiles.where(F.col("side") == s).select(F.col("id").alias(key), F.struct(*FIELDS).alias(s))
-    both = pairs.join(side("p", "project_id"), "project_id").join(side("r", "primre_row_id"), "primre_row_id")
-    p, r = F.col("p"), F.col("r")
-    both = both.where((p["country"] == "") | (r["country"] == "") | (p["country"] == r["country"]))
-    flat = both.select("project_id", "primre_row_id", *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in "pr" for f in FIELDS])
+    """``pairs`` whose records stand together: ``project_id`` and ``record`` (``first`` of the ``profiles``), ``confidence``."""
+    side = lambda s, key: profiles.where(F.col("side") == s).select(F.col("id").alias(key), F.col("fields").alias(s), F.col("first").alias(f"first_{s}"))
+    both = pairs.join(side("p", "project_id"), "project_id").join(side("r", "primre_row_id"), "primre_row_id").select("p", "r", "first_p", "first_r")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            p, r = (zip(*[pdf[f"{s}_{f}"].map(list) if f in FIELDS[:4] else pdf[f"{s}_{f}"] for f in FIELDS]) for s in "pr")
-            out = pdf[["project_id", "primre_row_id"]].copy()
-            out["confidence"] = [confidence(x, y) for x, y in zip(p, r)]
-            yield out
-
-    return flat.mapInPandas(run, "project_id string, primre_row_id string, confidence double").where(F.col("confidence") >= THRESHOLD)
+            p, r = ({t: json.loads(t) for t in pdf[s].unique()} for s in "pr")
+            yield pd.DataFrame({"project_id": pdf["first_p"], "record": pdf["first_r"], "confidence": [confidence(p[x], r[y]) for x, y in zip(pdf["p"], pdf["r"])]})
 
-
-def _classes(rows: DataFrame, side: str) -> DataFrame:
-    """Adds ``cls``, one for all rows whose profiles are equal."""
-    return rows.where(F.col("side") == side).withColumn("cls", F.concat(F.lit(side), F.hex(F.xxhash64(*FIELDS)), F.hex(F.xxhash64(F.lit(1), *FIELDS))))
+    return both.mapInPandas(run, "project_id string, record string, confidence double").where(F.col("confidence") >= THRESHOLD)
 
 
 def assign(edges: DataFrame, records: DataFrame) -> DataFrame:
@@ -289,30 +315,34 @@ def match(projects: DataFrame, records: DataFrame, window: int = WINDOW, other_n
     ``other_names``: ``project_id``, ``name``, further names of projects. Every different name of a project, its own and
     these, is tried; the best confidence stands.
     """
-    p = _usual(projects, "project_id", ["name", "device", "developer", "country", "technology", "primre_website", "location"])
-    named = projects.select(F.col("project_id").alias("id"), "name")
-    if other_names is not None:
-        named = named.unionByName(other_names.select(F.col("project_id").alias("id"), "name"))
-    p = p.join(named.where("id is not null and name is not null").groupBy("id").agg(F.collect_set("name").alias("names")), "id", "left")
+    fields = ["name", "device", "developer", "country", "technology", "primre_website", "location"]
+    other = projects.select(F.lit(None).cast("string").alias("id"), "name").limit(0) if other_names is None else other_names.select(F.col("project_id").alias("id"), "name")
+    p = _usual(projects, "project_id", fields, other)
     r = _usual(records, "primre_row_id", ["primre_name", "country", "primre_resource", "primre_website", "location"])
 
     def rows(make) -> object:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in frames:
-                yield pd.DataFrame(make(pdf), columns=[c.split(" ")[0] for c in PROFILE.split(", ")])
+                made = [(*x, json.dumps(x[2:], ensure_ascii=False, separators=(",", ":"))) for x in make(pdf)]
+                yield pd.DataFrame(made, columns=[c.split(" ")[0] for c in PROFILE.split(", ")])
 
         return run
 
-    mine = _classes(p.mapInPandas(rows(_variant_rows), PROFILE), "p")
-    theirs = cut_lineage(_classes(r.mapInPandas(rows(_record_rows), PROFILE), "r"))
+    def exploded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = [(k, side, one, land) for side, one, text, land in zip(pdf["side"], pdf["id"], pdf["fields"], pdf["land"]) for k in _keys(side, *json.loads(text)[:4])]
+            yield pd.DataFrame(out, columns=["key", "side", "id", "land"]).astype({"id": "int64", "land": "Int32"})
+
+    mine = p.mapInPandas(rows(_variant_rows), PROFILE)
+    cls = F.concat(F.lit("r"), F.hex(F.xxhash64(*FIELDS)), F.hex(F.xxhash64(F.lit(1), *FIELDS)))  # one for all records alike in all fields
+    theirs = cut_packed(r.mapInPandas(rows(_record_rows), PROFILE).select("id", cls.alias("record"), "country", "kind", "fields"))
     # one row a class; of projects alike in all fields the smallest id stands for all
-    both = mine.groupBy("side", "cls", *FIELDS, "keys").agg(F.min("id").alias("first")).unionByName(theirs.groupBy("side", "cls", *FIELDS, "keys").agg(F.min("id").alias("first")))
-    both = cut_lineage(both.withColumnRenamed("cls", "id"))
-    keys = both.select(F.explode("keys").alias("key"), "side", "id")
-    found = _compared(_neighbours(keys, window), both)
-    stands = both.where("side = 'p'").select(F.col("id").alias("cls"), F.col("first").alias("project_id"))
-    edges = found.select(F.col("project_id").alias("cls"), F.col("primre_row_id").alias("record"), "confidence").join(stands, "cls")
-    edges = cut_lineage(edges.groupBy("project_id", "record").agg(F.max("confidence").alias("confidence")))
-    records = theirs.groupBy(F.col("cls").alias("record"), "country", "kind").agg(F.count_distinct("id").alias("n"))
-    members = theirs.select(F.col("cls").alias("record"), F.col("id").alias("primre_row_id")).distinct()
+    once = lambda df, side, first: df.groupBy("fields", "country").agg(F.min(first).alias("first")).select(F.lit(side).alias("side"), "fields", F.when(F.col("country") != "", F.hash("country")).alias("land"), "first")
+    both = cut_packed(once(mine, "p", "id").unionByName(once(theirs, "r", "record")).withColumn("id", F.monotonically_increasing_id()))
+    free_unused(projects.sparkSession)
+    keys = both.select("side", "id", "fields", "land").mapInPandas(exploded, "key string, side string, id bigint, land int")
+    edges = cut_lineage(_compared(_neighbours(keys, window), both).groupBy("project_id", "record").agg(F.max("confidence").alias("confidence")))
+    free_unused(projects.sparkSession)
+    records = theirs.groupBy("record", "country", "kind").agg(F.count_distinct("id").alias("n"))
+    members = theirs.select("record", F.col("id").alias("primre_row_id")).distinct()
     return assign(edges, records).join(members, "record").select("project_id", "primre_row_id", "confidence")

@@ -163,3 +163,36 @@ def test_parts():
     assert place_of("x", "", "", "https://sovar-tebogan.example/", "") == ("sovar", "tebogan")
     assert lead_of("Favaro Wave Farm - Benalo Gisteron") == ["favaro"] and lead_of("Wave Farm, Benalo Gisteron") == []
     assert resource_fits("Wave", "wave") is True and resource_fits("Wave", "OTEC") is False and resource_fits("", "wave") is None and resource_fits("Wave,Tidal", "tidal range") is True
+
+
+def test_little_is_moved(spark):
+    """What is shuffled stays a few times the size of both tables."""
+    import os
+    import time
+
+    from docengine.llm.queries import p6_found
+
+    def moved():
+        time.sleep(1)
+        told = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(told.apply(i).totalShuffleWrite() for i in range(told.size()))
+
+    d, before = "/root/testdata/sf0.01", moved()
+    p6_found(spark, d).count()
+    size = sum(os.path.getsize(f"{d}/{t}.parquet") for t in ("projects", "primre_only_test_sites"))
+    assert 0 < moved() - before < 5 * size
+
+
+def test_packed_cut_gives_the_same_rows(spark):
+    from docengine.session import cut_packed
+
+    df = spark.range(0, 25_000, 1, 3).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("Bökesin "), F.col("id").cast("string"))).alias("name"), F.array(F.lit("a"), F.lit(None)).alias("names"))
+    kept = cut_packed(df)
+    assert kept.schema == df.schema and kept.exceptAll(df).isEmpty() and df.exceptAll(kept).isEmpty()
+    assert cut_packed(df.limit(0)).count() == 0
+
+
+def test_pairs_of_two_lands_are_not_made(spark):
+    rows = [("1sovar tebogan", "p", 1, 10), ("1sovar tebogan", "r", 2, 10), ("1sovar tebogan", "r", 3, 11), ("1sovar tebogam", "r", 4, None), ("1sovar tebogam", "r", 5, 11)]
+    got = M._neighbours(spark.createDataFrame(rows, "key string, side string, id bigint, land int"), M.WINDOW).collect()
+    assert sorted(tuple(x) for x in got) == [(1, 2), (1, 4)]
